@@ -75,8 +75,8 @@ def vote_soft(columns: Sequence[str], threshold: float = 0.5) -> Column:
 
 def mean_probabilities(arrays: Sequence[str]) -> Column:
     """Element-wise mean of probability arrays."""
-    zipped = F.arrays_zip(*[quoted(a).alias(f"p{i}") for i, a in enumerate(arrays)])
-    return F.transform(zipped, lambda z: _total([z[f"p{i}"] for i in range(len(arrays))]) / float(len(arrays)))
+    zipped = F.arrays_zip(*[quoted(a) for a in arrays])
+    return F.transform(zipped, lambda z: _total([z[a] for a in arrays]) / float(len(arrays)))
 
 
 def argmax(array: Column) -> Column:

@@ -163,9 +163,10 @@ def number_values(values: DataFrame, column: str, to: str, small: int = 100_000)
 
 
 def running_max(
-    df: DataFrame, group: Sequence[str], order: str, column: str, to: str, span: int = 1_000_000
+    df: DataFrame, group: Sequence[str], order: str, column: str, to: str, span: int = 1_000_000,
+    exclusive: bool = False,
 ) -> DataFrame:
-    """Maximum of ``column`` up to and including the row, over an integer order column.
+    """Maximum of ``column`` up to the row (``exclusive``: before the row), over an integer order column.
 
     Rows are cut into spans of the order column; a span's own running maximum is combined with the
     maximum of all earlier spans.
@@ -174,7 +175,8 @@ def running_max(
     keys = [*group, "__span"]
     peaks = spanned.groupBy(*keys).agg(F.max(quoted(column)).alias("__peak"))
     earlier = peaks.select(*keys, F.max("__peak").over(_earlier(group, "__span")).alias("__earlier"))
-    inside = Window.partitionBy(*keys).orderBy(quoted(order)).rowsBetween(Window.unboundedPreceding, 0)
+    end = -1 if exclusive else 0
+    inside = Window.partitionBy(*keys).orderBy(quoted(order)).rowsBetween(Window.unboundedPreceding, end)
     joined = spanned.withColumn("__here", F.max(quoted(column)).over(inside)).join(earlier, keys)
     return joined.select(
         *[quoted(c) for c in df.columns], F.greatest(F.col("__here"), F.col("__earlier")).alias(to)

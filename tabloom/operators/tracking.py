@@ -41,13 +41,13 @@ def running_best(trials: DataFrame, study: Sequence[str] = (), span: int = 1_000
 
 def since_improvement(trials: DataFrame, study: Sequence[str] = (), span: int = 1_000_000) -> DataFrame:
     """``no_improvement``: trials since the running best last rose."""
-    best = running_best(trials, study, span)
-    # a trial improves if it is the first to hold the running best
-    first = best.groupBy(*study, "best_score").agg(F.min("trial").alias("improved_at"))
-    joined = best.join(first, [*study, "best_score"])
-    return joined.select(
-        *[quoted(c) for c in trials.columns], "best_score",
-        (F.col("trial") - F.col("improved_at")).alias("no_improvement"),
+    seen = running_max(trials, study, "trial", "score", "__prev", span, exclusive=True)
+    improves = F.col("__prev").isNull() | (F.col("score") > F.col("__prev"))
+    seen = seen.withColumn("__improved", F.when(improves, F.col("trial")))
+    last = running_max(seen, study, "trial", "__improved", "__last", span)
+    return last.select(
+        *[quoted(c) for c in trials.columns], F.greatest("__prev", "score").alias("best_score"),
+        (F.col("trial") - F.col("__last")).alias("no_improvement"),
     )
 
 
