@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.operators.base import Fitted, Step, present, replace_columns
 from tabloom.operators.categories import MISSING
-from tabloom.operators.stats import aggregate_columns, exact_quantiles, numeric_columns, quoted, string_columns, value
+from tabloom.operators.stats import exact_quantiles, numeric_columns, quoted, string_columns, summarize, value
 
 
 class Imputer(Step):
@@ -36,12 +38,8 @@ class Imputer(Step):
             stats["fill"] = F.avg
         if strategy == "median" and self.opt("approx"):
             stats["fill"] = lambda c: F.percentile_approx(c, 0.5, 10_000)
-        found = {}
-        if numbers or strings:
-            rows = df.agg(F.count(F.lit(1))).first()[0]
-            found.update(aggregate_columns(df, numbers, **stats))
-            found.update(aggregate_columns(df, strings, held=F.count))
-        gaps = [c for c in numbers + strings if self.opt("always") or found[c]["held"] < rows]
+        rows, found = summarize(df, {**dict.fromkeys(numbers, stats), **dict.fromkeys(strings, {"held": F.count})})
+        gaps = {c for c in numbers + strings if self.opt("always") or found[c]["held"] < rows}
         lacking_numbers = [c for c in numbers if c in gaps]
         lacking_strings = [c for c in strings if c in gaps]
 
@@ -49,14 +47,14 @@ class Imputer(Step):
             middles = exact_quantiles(df, lacking_numbers, [0.5])
             fills = {c: middles[c][0] for c in lacking_numbers}
         elif strategy == "most_frequent":
-            fills = {c: most_frequent(df, c) for c in lacking_numbers}
+            fills = most_frequent(df, lacking_numbers)
         elif strategy == "constant":
             fills = dict.fromkeys(lacking_numbers, 0)
         else:
             fills = {c: found[c]["fill"] for c in lacking_numbers}
+        modes = most_frequent(df, lacking_strings) if self.opt("categorical_strategy") == "mode" else {}
         for c in lacking_strings:
-            common = most_frequent(df, c) if self.opt("categorical_strategy") == "mode" else None
-            fills[c] = MISSING if common is None else common
+            fills[c] = MISSING if modes.get(c) is None else modes[c]
         # a column without any value has no statistic: it stays missing
         return ImputerModel(fills={c: _plain(v) for c, v in fills.items() if v is not None})
 
@@ -67,11 +65,22 @@ class ImputerModel(Fitted):
         return replace_columns(df, {c: F.coalesce(value(df, c), F.lit(fills[c])) for c in present(df, fills)})
 
 
-def most_frequent(df: DataFrame, column: str):
-    """Most frequent value, smallest on a tie: count per value, then keep one row."""
-    counts = df.select(value(df, column).alias("v")).dropna().groupBy("v").count()
-    top = counts.orderBy(F.desc("count"), "v").limit(1).collect()
-    return top[0]["v"] if top else None
+def most_frequent(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
+    """Most frequent value per column, smallest on a tie: counts per value, then one row per type.
+
+    Columns of one type share a job; only counts are compared, no task holds all values.
+    """
+    out: dict[str, object] = {}
+    kinds: dict[str, list[str]] = {}
+    for c in columns:
+        kinds.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
+    for same in kinds.values():
+        pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), value(df, c).alias("v")) for c in same]))
+        counts = df.select(pairs.alias("p")).select("p.*").dropna().groupBy("c", "v").agg(F.count("*").alias("n"))
+        top = counts.groupBy("c").agg(F.max("n").alias("n"))
+        tied = counts.join(F.broadcast(top), ["c", "n"]).groupBy("c").agg(F.min("v").alias("v"))  # one row per column
+        out.update({r["c"]: r["v"] for r in tied.collect()})
+    return out
 
 
 def _plain(v):

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.operators.base import Fitted, Step, present
-from tabloom.operators.stats import aggregate_columns, numeric_columns, quoted, string_columns, value
+from tabloom.operators.stats import aggregate_columns, correlation, numeric_columns, quoted, string_columns, value
 
 
 class FeatureSelector(Step):
@@ -44,7 +44,7 @@ class FeatureSelector(Step):
         if self.opt("method") == "variance":
             found = aggregate_columns(df, columns, s=F.var_samp)
         elif self.opt("method") == "correlation" and label:
-            found = aggregate_columns(df, columns, s=lambda c: F.abs(F.corr(c.cast("double"), value(df, label).cast("double"))))
+            found = aggregate_columns(df, columns, s=lambda c: F.abs(correlation(c, value(df, label))))
         else:
             return None
         return [(c, math.nan if v["s"] is None else float(v["s"])) for c, v in found.items()]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,20 +40,25 @@ def quoted(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def aggregate_columns(df: DataFrame, columns: Sequence[str], **aggregates) -> dict[str, dict[str, object]]:
-    """Every aggregate over every column in one job: ``{column: {aggregate: value}}``."""
-    if not columns:
-        return {}
-    exprs = [
-        make(value(df, c)).alias(f"{i}:{name}")
-        for i, c in enumerate(columns)
-        for name, make in aggregates.items()
-    ]
-    row = df.agg(*exprs).first()
-    width = len(aggregates)
-    return {
-        c: {name: row[i * width + j] for j, name in enumerate(aggregates)} for i, c in enumerate(columns)
-    }
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson correlation over complete pairs; NULL for a constant column (``corr`` would fail in ANSI mode)."""
+    x, y = F.when(y.isNotNull(), x.cast("double")), F.when(x.isNotNull(), y.cast("double"))
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
+def summarize(df: DataFrame, wanted: Mapping[str, Mapping[str, Callable]]) -> tuple[int, dict[str, dict]]:
+    """(rows, ``{column: {name: value}}``): all aggregates of all columns in one job."""
+    places = [(c, name) for c, aggregates in wanted.items() for name in aggregates]
+    rows, *values = df.agg(F.count(F.lit(1)), *[wanted[c][name](value(df, c)) for c, name in places]).first()
+    found: dict[str, dict] = {c: {} for c in wanted}
+    for (c, name), v in zip(places, values):
+        found[c][name] = v
+    return rows, found
+
+
+def aggregate_columns(df: DataFrame, columns: Sequence[str], **aggregates: Callable) -> dict[str, dict]:
+    """The same aggregates over several columns in one job: ``{column: {name: value}}``."""
+    return summarize(df, dict.fromkeys(columns, aggregates))[1] if columns else {}
 
 
 def exact_quantiles(

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabloom.operators.rank import running_max
-from tabloom.operators.stats import quoted
+from tabloom.operators.stats import correlation, quoted
 
 
 def latest_results(log: DataFrame) -> DataFrame:
@@ -89,10 +89,10 @@ def random_importance(trials: DataFrame, numeric: Sequence[str], categorical: Se
     Numbers: absolute correlation. Categories: correlation ratio (root of the share of the score
     variance that lies between the categories). A constant parameter has none.
     """
-    spark_row = trials.agg(*[F.abs(F.corr(quoted(p).cast("double"), F.col("score"))).alias(p) for p in numeric]) if numeric else None
     parts = []
-    if spark_row is not None:
-        parts.append(spark_row.unpivot([], list(numeric), "param", "effect"))
+    if numeric:
+        links = trials.agg(*[F.abs(correlation(quoted(p), F.col("score"))).alias(p) for p in numeric])
+        parts.append(links.unpivot([], list(numeric), "param", "effect"))
     if categorical:
         pairs = F.explode(F.array(*[
             F.struct(F.lit(p).alias("param"), quoted(p).cast("string").alias("value")) for p in categorical

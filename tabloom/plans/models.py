@@ -138,11 +138,11 @@ class TabularModel:
     def _assembler(self, columns: Sequence[str]) -> VectorAssembler:
         return VectorAssembler(inputCols=list(columns), outputCol="__features", handleInvalid="keep")
 
-    def _outputs(self) -> dict:
-        names = {"featuresCol": "__features", "predictionCol": "__prediction"}
+    def _outputs(self, estimator):
+        estimator.setFeaturesCol("__features").setPredictionCol("__prediction")
         if self.classifies:
-            names |= {"probabilityCol": "__probability", "rawPredictionCol": "__raw"}
-        return names
+            estimator.setProbabilityCol("__probability").setRawPredictionCol("__raw")
+        return estimator
 
     def _fit_trees(self, train: DataFrame, label: str, validation: DataFrame | None) -> PipelineModel:
         p, assembler = self.config.params, self._assembler(self.features)
@@ -150,11 +150,10 @@ class TabularModel:
             "labelCol": label, "maxDepth": int(p["max_depth"]), "seed": self.config.random_state,
             "subsamplingRate": float(p.get("subsample", 1.0)), "maxBins": int(p.get("max_bins", 32)),
             "featureSubsetStrategy": str(float(p["colsample_bytree"])) if p.get("colsample_bytree", 1.0) < 1 else "all",
-            **self._outputs(),
         }
         if self.classifies and train.select(label).distinct().limit(3).count() > 2:
             # boosting is binary in Spark ML; more classes use a forest of the same depth and sampling
-            forest = RandomForestClassifier(numTrees=int(p["n_estimators"]), **settings)
+            forest = self._outputs(RandomForestClassifier(numTrees=int(p["n_estimators"]), **settings))
             return PipelineModel([assembler, forest.fit(assembler.transform(train))])
         settings |= {"maxIter": int(p["n_estimators"]), "stepSize": float(p["learning_rate"])}
         if validation is not None and p.get("early_stopping_rounds"):
@@ -163,7 +162,7 @@ class TabularModel:
                 held.dropna(subset=[label]).withColumn("__held", F.lit(True))
             )
             settings |= {"validationIndicatorCol": "__held", "validationTol": float(p.get("validation_tol", 0.01))}
-        booster = GBTClassifier(**settings) if self.classifies else GBTRegressor(**settings)
+        booster = self._outputs(GBTClassifier(**settings) if self.classifies else GBTRegressor(**settings))
         return PipelineModel([assembler, booster.fit(assembler.transform(train))])
 
     def _fit_linear(self, train: DataFrame, label: str) -> PipelineModel:
@@ -175,14 +174,14 @@ class TabularModel:
             c: [pairs[2 * i] or 0.0, pairs[2 * i + 1] or 1.0] for i, c in enumerate(self.features)
         })
         assembler = self._assembler([f"__s_{c}" for c in self.features])
-        estimator = self._linear_estimator(label, rows, spread or 1.0)
+        estimator = self._outputs(self._linear_estimator(label, rows, spread or 1.0))
         fitted = estimator.fit(assembler.transform(scaled.transform(train)))
         return PipelineModel([scaled, assembler, fitted])
 
     def _linear_estimator(self, label: str, rows: int, spread: float):
         """Translate penalties on the sum of squares to Spark ML's penalties on the mean."""
         p, kind = self.config.params, self.config.model_type
-        common = {"labelCol": label, "standardization": False, **self._outputs()}
+        common = {"labelCol": label, "standardization": False}
         if self.classifies:
             penalty = p.get("penalty") or {"lasso": "l1", "elasticnet": "elasticnet"}.get(kind, "l2")
             mix = {"l2": 0.0, "l1": 1.0, "elasticnet": float(p.get("l1_ratio", 0.5))}[penalty]
