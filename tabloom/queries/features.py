@@ -22,10 +22,11 @@ KEY = "o_orderkey"
 
 
 def _rounded(df, *plain, digits=4, large=()):
-    """Round every floating column that is not named; ``large`` products keep two digits."""
+    """Round every floating column that is not named; ``large`` products keep two digits, quotients all."""
     floats = {f.name for f in df.schema if f.dataType.simpleString() == "double"} - set(plain)
     return df.select(*[
-        rnd(c, 2 if c in large else digits).alias(c) if c in floats else F.col(c) for c in df.columns
+        rnd(c, 2 if c in large else digits).alias(c) if c in floats and "_divide_" not in c else F.col(c)
+        for c in df.columns
     ])
 
 
@@ -60,13 +61,13 @@ def category_count(spark, folder):
     SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax,
            {sql_rnd('l_quantity * l_discount')} AS l_quantity_multiply_l_discount,
            {sql_rnd('l_quantity + l_discount')} AS l_quantity_add_l_discount,
-           {sql_rnd('CASE WHEN l_discount = 0 THEN 0 ELSE l_quantity / l_discount END')} AS l_quantity_divide_l_discount,
+           CASE WHEN l_discount = 0 THEN 0 ELSE l_quantity / l_discount END + 0.0::DOUBLE AS l_quantity_divide_l_discount,
            {sql_rnd('l_quantity * l_tax')} AS l_quantity_multiply_l_tax,
            {sql_rnd('l_quantity + l_tax')} AS l_quantity_add_l_tax,
-           {sql_rnd('CASE WHEN l_tax = 0 THEN 0 ELSE l_quantity / l_tax END')} AS l_quantity_divide_l_tax,
+           CASE WHEN l_tax = 0 THEN 0 ELSE l_quantity / l_tax END + 0.0::DOUBLE AS l_quantity_divide_l_tax,
            {sql_rnd('l_discount * l_tax')} AS l_discount_multiply_l_tax,
            {sql_rnd('l_discount + l_tax')} AS l_discount_add_l_tax,
-           {sql_rnd('CASE WHEN l_tax = 0 THEN 0 ELSE l_discount / l_tax END')} AS l_discount_divide_l_tax
+           CASE WHEN l_tax = 0 THEN 0 ELSE l_discount / l_tax END + 0.0::DOUBLE AS l_discount_divide_l_tax
     FROM lineitem""")
 def interaction(spark, folder):
     rows = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
@@ -77,7 +78,7 @@ def interaction(spark, folder):
 @query("feat_interaction_cap", f"""
     SELECT p_partkey, p_size, p_retailprice, {sql_rnd('p_size * p_retailprice')} AS p_size_multiply_p_retailprice,
            {sql_rnd('p_size + p_retailprice')} AS p_size_add_p_retailprice,
-           {sql_rnd('p_size / p_retailprice', 4)} AS p_size_divide_p_retailprice, half
+           p_size / p_retailprice AS p_size_divide_p_retailprice, half
     FROM (SELECT *, p_size / 2.0 AS half FROM part)""")
 def interaction_cap(spark, folder):
     rows = table(spark, folder, "part").select("p_partkey", "p_size", "p_retailprice", (F.col("p_size") / 2.0).alias("half"))
@@ -196,7 +197,7 @@ def rolling_time(spark, folder):
            {sql_rnd('sqrt(greatest(coalesce(x, 0), 0))')} AS x_sqrt, {sql_rnd('ln(1 + c)')} AS c_log, {sql_rnd('sqrt(c)')} AS c_sqrt,
            n AS g_count, {sql_rnd('n * 1.0 / (SELECT count(*) FROM src)')} AS g_frequency, CAST(n < 5 AS INT) AS g_is_rare,
            {sql_rnd('x * c', 2)} AS x_multiply_c, {sql_rnd('x + c')} AS x_add_c,
-           {sql_rnd('CASE WHEN c = 0 AND x IS NOT NULL THEN 0 ELSE x / nullif(c, 0) END')} AS x_divide_c,
+           CASE WHEN c = 0 AND x IS NOT NULL THEN 0 ELSE x / nullif(c, 0) END + 0.0::DOUBLE AS x_divide_c,
            {sql_rnd('x * x', 2)} AS x_pow2, {sql_rnd('x * c', 2)} AS x_x_c, {sql_rnd('c * c * 1.0', 2)} AS c_pow2,
            CAST(year(d) AS INT) AS d_year, CAST(month(d) AS INT) AS d_month, CAST(day(d) AS INT) AS d_day,
            CAST(isodow(d) - 1 AS INT) AS d_dayofweek, CAST(isodow(d) >= 6 AS INT) AS d_is_weekend
