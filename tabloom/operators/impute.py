@@ -77,9 +77,8 @@ def most_frequent(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
     for same in kinds.values():
         pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), value(df, c).alias("v")) for c in same]))
         counts = df.select(pairs.alias("p")).select("p.*").dropna().groupBy("c", "v").agg(F.count("*").alias("n"))
-        top = counts.groupBy("c").agg(F.max("n").alias("n"))
-        tied = counts.join(F.broadcast(top), ["c", "n"]).groupBy("c").agg(F.min("v").alias("v"))  # one row per column
-        out.update({r["c"]: r["v"] for r in tied.collect()})
+        first = counts.groupBy("c").agg(F.min(F.struct(-F.col("n"), F.col("v"))).alias("e"))  # one row per column
+        out.update({r["c"]: r["v"] for r in first.select("c", "e.v").collect()})
     return out
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tabloom.functions.hashing import HASH_RANGE
 from tabloom.operators.lookup import lookup_join
-from tabloom.operators.stats import cut_points, quoted
+from tabloom.operators.stats import RANGE_ROWS, cut_points, quoted
 from tabloom.session import shared_dir
 
 
@@ -31,13 +31,13 @@ def _earlier(columns: Sequence[str], order: str) -> Window:
     return Window.partitionBy(*columns).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def average_rank(df: DataFrame, column: str, to: str, cuts: int = 1_000) -> DataFrame:
+def average_rank(df: DataFrame, column: str, to: str, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Ascending 1-based rank; ties share the mean of their ranks; NULL stays NULL.
 
     Ties are compressed first, so a value held by a third of the rows is one row while ranking and
     is salted when ranks return to the rows.
     """
-    _, points, hot = cut_points(df, quoted(column), cuts)
+    points, hot = cut_points(df, quoted(column), range_rows)
     number = quoted(column).cast("double")
     values = df.select(number.alias("__value")).dropna().groupBy("__value").agg(F.count("*").alias("__ties"))
     ranged = with_range(values, "__value", points)
@@ -60,17 +60,17 @@ def _range_offsets(ranged: DataFrame, totals: dict[str, Column]) -> DataFrame:
     )
 
 
-def auc(df: DataFrame, label: str, score: str, cuts: int = 1_000) -> DataFrame:
+def auc(df: DataFrame, label: str, score: str, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Exact ROC AUC: share of (positive, negative) pairs in the right order, ties count half."""
-    _, points, _ = cut_points(df, quoted(score), cuts)
+    points, _ = cut_points(df, quoted(score), range_rows)
     return _pair_share(
         df.select(quoted(label).cast("int").alias("__y"), quoted(score).cast("double").alias("__value")), [], points
     ).select("auc")
 
 
-def auc_by(df: DataFrame, group: str, label: str, score: str, cuts: int = 1_000) -> DataFrame:
+def auc_by(df: DataFrame, group: str, label: str, score: str, range_rows: int = RANGE_ROWS) -> DataFrame:
     """AUC per value of ``group`` (for example per class, one against the rest)."""
-    _, points, _ = cut_points(df, quoted(score), cuts)
+    points, _ = cut_points(df, quoted(score), range_rows)
     rows = df.select(
         quoted(group).alias(group), quoted(label).cast("int").alias("__y"),
         quoted(score).cast("double").alias("__value"),
@@ -126,9 +126,11 @@ def number_within(
     )
 
 
-def number_rows(df: DataFrame, order: str, to: str = "id", start: int = 0, cuts: int = 1_000) -> DataFrame:
+def number_rows(
+    df: DataFrame, order: str, to: str = "id", start: int = 0, range_rows: int = RANGE_ROWS
+) -> DataFrame:
     """Consecutive numbers in the order of a unique numeric column."""
-    _, points, _ = cut_points(df, quoted(order), cuts)
+    points, _ = cut_points(df, quoted(order), range_rows)
     ranged = with_range(df.withColumn("__value", quoted(order).cast("double")), "__value", points)
     local = F.row_number().over(Window.partitionBy("__range").orderBy(quoted(order)))
     offsets = _range_offsets(ranged, {"__offset": F.count("*")})

@@ -174,20 +174,25 @@ def _select(data, search, wanted) -> None:
         wanted[target] = found
 
 
-def cut_points(df: DataFrame, c: Column, parts: int = 1_000) -> tuple[int, list[float], list[float]]:
-    """(rows, ascending cut points, hot values) of a numeric expression, from one bounded sketch.
+RANGE_ROWS = 500_000
+MAX_RANGES = 10_000
 
-    A value that fills two neighbouring quantiles of ``parts`` holds about ``1/parts`` of the rows
-    or more: it is reported as hot. The cut points only steer parallelism; results built on them
-    are exact wherever they fall.
+
+def cut_points(df: DataFrame, c: Column, range_rows: int = RANGE_ROWS) -> tuple[list[float], list[float]]:
+    """(ascending cut points, hot values) of a numeric expression, from one bounded sketch.
+
+    There is one cut per ``range_rows`` rows, at most ``MAX_RANGES``. A value that fills two
+    neighbouring cuts holds several ranges' worth of rows: it is reported as hot. The cut points
+    only steer parallelism; results built on them are exact wherever they fall.
     """
+    values = df.select(c.cast("double").alias("v")).dropna()
+    parts = min(MAX_RANGES, values.count() // range_rows + 1)
+    if parts == 1:
+        return [], []
     steps = [k / parts for k in range(1, parts)]
-    row = df.agg(F.count(c), F.percentile_approx(c.cast("double"), steps, max(10_000, 10 * parts))).first()
-    rows, cuts = row[0], row[1] or []
+    cuts = values.agg(F.percentile_approx("v", steps, max(10_000, 10 * parts))).first()[0] or []
     hot = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
-    # few rows need few parts
-    keep = max(1, math.ceil(parts / max(8, rows // 200_000)))
-    return rows, sorted(set(cuts[keep - 1::keep])), hot
+    return sorted(set(cuts)), hot
 
 
 def hot_keys(df: DataFrame, key: str, min_rows: int | None = None, share: int = 1_000) -> list:

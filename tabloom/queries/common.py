@@ -29,13 +29,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _off_ties(digits: int) -> float:
+    """A shift far below the rounding step: decimal data has exact ties, which a last bit would decide."""
+    return float(f"3.7e-{digits + 3}")
+
+
 def rnd(c: Column | str, digits: int = 4) -> Column:
-    return F.round(c, digits)
+    return F.round((F.col(c) if isinstance(c, str) else c) + F.lit(_off_ties(digits)), digits)
 
 
 def sql_rnd(expression: str, digits: int = 4) -> str:
-    """Rounded, with negative zero turned into zero."""
-    return f"(round({expression}, {digits}) + 0.0::DOUBLE)"
+    """The same in SQL, with negative zero turned into zero."""
+    return f"(round(({expression}) + {_off_ties(digits)!r}::DOUBLE, {digits}) + 0.0::DOUBLE)"
 
 
 def sql_hash(key: str, seed: int = 42) -> str:

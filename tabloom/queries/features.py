@@ -190,6 +190,20 @@ def rolling_time(spark, folder):
     return _rounded(rolling_range(rows, "user_id", "ts", ["value"], 86_400).drop("ts", "value"))
 
 
+@query("feat_rolling_range_hot", f"""
+    SELECT event_id, event_type, {sql_rnd('sum(value) OVER w')} AS value_86400s_sum, count(value) OVER w AS value_86400s_count,
+           {sql_rnd('avg(value) OVER w')} AS value_86400s_mean, max(value) OVER w + 0.0 AS value_86400s_max
+    FROM events
+    WINDOW w AS (PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)""")
+def rolling_time_hot(spark, folder):
+    """Five entities hold all rows: running sums continue over chunks of time."""
+    rows = table(spark, folder, "events").select("event_id", "event_type", "ts", "value")
+    out = rolling_range(
+        rows, "event_type", "ts", ["value"], 86_400, ["sum", "count", "mean", "max"], hot_rows=500, chunk_rows=1_000
+    )
+    return _rounded(out.drop("ts", "value"), "value_86400s_max")
+
+
 @query("feat_chain", f"""
     WITH {GAPPY}, src AS (SELECT gappy.o_orderkey, x, c, g, o_orderdate AS d FROM gappy JOIN orders USING (o_orderkey)),
     counts AS (SELECT coalesce(g, 'missing') AS v, count(*) AS n FROM src GROUP BY 1)
