@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +14,8 @@ from tabloom.operators.stats import quoted
 from tabloom.session import scratch_path
 
 MISSING = "missing"
+MAX_BRANCHES = 64
+ARROW = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64()}
 MAX_LOCAL = 20_000
 HOT_SHARE = 1_000
 
@@ -91,8 +94,8 @@ class CategoryTable:
         wanted = ["category", *state["keys"], *state["names"]]
         if "rows" in held:
             kinds = {"category": "string", **types}
-            schema = ", ".join(f"`{n}` {kinds[n]}" for n in wanted)
-            return spark.createDataFrame([tuple(r) for r in held["rows"]], schema), len(held["rows"]), []
+            columns = {n: pa.array([r[i] for r in held["rows"]], ARROW[kinds[n]]) for i, n in enumerate(wanted)}
+            return spark.createDataFrame(pa.table(columns)), len(held["rows"]), []
         df = spark.read.parquet(held["path"])
         if not held["coded"]:
             df = df.filter(F.col("column") == column)
@@ -103,7 +106,13 @@ class CategoryTable:
         df: DataFrame, state: dict, column: str, types: Mapping[str, str], to: Mapping[str, str],
         defaults: Mapping[str, object], rename_keys: Mapping[str, str] | None = None,
     ) -> DataFrame:
-        """Append ``to`` (statistic name -> new column) by looking the category up."""
+        """Append ``to`` (statistic name -> new column) by looking the category up.
+
+        A handful of categories become a CASE expression, so the step stays inside the projection.
+        """
+        held = state["columns"][column].get("rows")
+        if held is not None and not state["keys"] and len(held) * len(to) <= MAX_BRANCHES:
+            return CategoryTable._cases(df, state, column, types, to, defaults)
         table, rows, hot = CategoryTable.table(df.sparkSession, state, column, types)
         extra = [(rename_keys or {}).get(k, k) for k in state["keys"]]
         table = table.select(
@@ -115,6 +124,22 @@ class CategoryTable:
         fill = {to[n]: v for n, v in defaults.items()}
         return lookup_join(keyed, table, ["__category", *extra], fill, rows=rows, hot=hot).drop("__category")
 
+    @staticmethod
+    def _cases(df, state, column, types, to, defaults) -> DataFrame:
+        category = F.coalesce(quoted(column), F.lit(MISSING))
+        out = [quoted(c) for c in df.columns]
+        for name, target in to.items():
+            at = 1 + state["names"].index(name)
+            found = None
+            for entry in state["columns"][column]["rows"]:
+                hit, held = category == F.lit(entry[0]), F.lit(entry[at]).cast(types[name])
+                found = F.when(hit, held) if found is None else found.when(hit, held)
+            found = F.lit(None).cast(types[name]) if found is None else found
+            if name in defaults:
+                found = F.coalesce(found, F.lit(defaults[name]).cast(types[name]))
+            out.append(found.alias(target))
+        return df.select(*out)
+
     @staticmethod
     def categories(state: dict, column: str) -> list[str]:
         """Sorted categories of a column that is small enough to be held by the model."""
