@@ -102,13 +102,18 @@ def _pair_share(rows: DataFrame, group: list[str], points: Sequence[float]) -> D
 
 
 def number_within(
-    df: DataFrame, group: Sequence[str], order: Column, tie: str, to: str, ranges: int = 256
+    df: DataFrame, group: Sequence[str], order: Column, tie: str, to: str, range_rows: int = RANGE_ROWS
 ) -> DataFrame:
     """``row_number`` within a group, ordered by a 28-bit hash and then the row key.
 
-    A hash is uniform, so equal hash ranges split even a group with a third of the rows into
-    ``ranges`` even parts.
+    A hash is uniform, so equal hash ranges split even a group with a third of the rows into even
+    parts: one range per ``range_rows`` rows of the table, up to 2^16.
     """
+    ranges = min(1 << 16, 1 << (df.count() // range_rows).bit_length())
+    if ranges == 1:
+        plain = Window.partitionBy(*[quoted(g) for g in group]).orderBy("__order", quoted(tie))
+        numbered = df.withColumn("__order", order).withColumn(to, F.row_number().over(plain).cast("bigint"))
+        return numbered.select(*[quoted(c) for c in df.columns], quoted(to))
     part = F.floor(F.col("__order") / F.lit(HASH_RANGE // ranges)).cast("int")
     ranged = df.withColumn("__order", order).withColumn("__range", part)
     keys = [*group, "__range"]

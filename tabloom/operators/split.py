@@ -15,15 +15,15 @@ from tabloom.operators.rank import number_within
 SPLIT_STEPS = 10_000
 
 
-def is_validation(key: str, test_size: float = 0.2, seed: int = 42) -> Column:
-    return F.pmod(hash28(key, seed=seed), F.lit(SPLIT_STEPS)) < F.lit(round(test_size * SPLIT_STEPS))
+def is_validation(key: str, test_size: float = 0.2, seed: int = 42, portable: bool = True) -> Column:
+    return F.pmod(hash28(key, seed=seed, portable=portable), F.lit(SPLIT_STEPS)) < F.lit(round(test_size * SPLIT_STEPS))
 
 
 def train_validation(
-    df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42
+    df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42, portable: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """(train, validation) by hash of the row key; sizes are proportional in expectation."""
-    chosen = is_validation(key, test_size, seed)
+    chosen = is_validation(key, test_size, seed, portable)
     return df.filter(~chosen), df.filter(chosen)
 
 
@@ -40,8 +40,8 @@ def stratified_flag(
     )
 
 
-def fold_of(key: str, folds: int = 5, seed: int = 42) -> Column:
-    return F.pmod(hash28(key, seed=seed), F.lit(folds)).cast("int")
+def fold_of(key: str, folds: int = 5, seed: int = 42, portable: bool = True) -> Column:
+    return F.pmod(hash28(key, seed=seed, portable=portable), F.lit(folds)).cast("int")
 
 
 def stratified_folds(

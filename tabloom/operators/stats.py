@@ -61,21 +61,25 @@ def aggregate_columns(df: DataFrame, columns: Sequence[str], **aggregates: Calla
     return summarize(df, dict.fromkeys(columns, aggregates))[1] if columns else {}
 
 
+MIN_SORTED = 1_000
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
     max_values: int = 500_000,
+    sample: int = 1_000_000,
     accuracy: int = 10_000,
 ) -> dict[str, list[float | None]]:
     """Exact quantiles with linear interpolation, all columns together.
 
     ``percentile`` keeps every distinct value of a column in one task. Here each wanted order
-    statistic is enclosed in a bracket instead: a bounded sketch proposes two values around it, a
-    counting pass proves on which side of them the statistic lies, and that repeats until a bracket
-    holds few enough values to be sorted as they are. A round shrinks a bracket by roughly
-    ``accuracy / 4``, so even 10^12 rows need three rounds. No pass shuffles rows, and ties
-    - however heavy - end a search early because a proposed value is itself an answer.
+    statistic is enclosed in a bracket instead: a sample of the bracket proposes two values around
+    it, a counting pass over all rows proves on which side of them the statistic lies, and that
+    repeats until a bracket holds few enough values to be sorted as they are. A round shrinks a
+    bracket some hundredfold, so 10^12 rows need about three rounds. No pass shuffles rows, and
+    ties - however heavy - end a search early because a proposed value is itself an answer.
     """
     if not columns:
         return {}
@@ -93,11 +97,11 @@ def exact_quantiles(
     search = {t: (-math.inf, math.inf, 0, counts[t[0]]) for t in wanted}
     while search:
         brackets = {(t[0],) + b for t, b in search.items()}
-        limit = max(1_000, max_values // len(brackets))
+        limit = max(MIN_SORTED, max_values // len(brackets))
         wide = {t: b for t, b in search.items() if b[3] > limit}
         if not wide:
             break
-        _narrow(data, wide, search, wanted, accuracy)
+        _narrow(data, wide, search, wanted, sample, accuracy)
 
     if search:
         _select(data, search, wanted)
@@ -125,15 +129,27 @@ def _inside(i: int, low: float, high: float) -> Column:
     return keep
 
 
-def _narrow(data, wide, search, wanted, accuracy) -> None:
+def _narrow(data, wide, search, wanted, sample, accuracy) -> None:
     targets = list(wide)
     sketches = []
     for i, rank in targets:
         low, high, below, inside = wide[i, rank]
+        share = min(1.0, sample / inside)
         at = (rank - below) / max(1, inside - 1)
-        around = [max(0.0, at - 2 / accuracy), min(1.0, at + 2 / accuracy)]
-        sketches.append(F.percentile_approx(F.when(_inside(i, low, high), F.col(f"v{i}")), around, accuracy))
-    proposals = data.agg(*sketches).first()
+        spread = 4 * math.sqrt(at * (1 - at) / (share * inside)) if share < 1 else 0.0
+        around = [max(0.0, at - spread - 2 / accuracy), min(1.0, at + spread + 2 / accuracy)]
+        drawn = _inside(i, low, high) & (F.col("__draw") < F.lit(share))
+        sketches.append(F.percentile_approx(F.when(drawn, F.col(f"v{i}")), around, accuracy))
+    proposals = data.withColumn("__draw", F.rand(17)).agg(*sketches).first()
+    # an empty sample proposes nothing: the whole bracket is sketched next time
+    empty = [t for t, p in zip(targets, proposals) if p is None]
+    if empty:
+        again = {t: wide[t] for t in empty}
+        _narrow(data, again, search, wanted, max(wide[t][3] for t in empty), accuracy)
+        kept = [(t, p) for t, p in zip(targets, proposals) if p is not None]
+        targets, proposals = [t for t, _ in kept], [p for _, p in kept]
+        if not targets:
+            return
 
     counts = []
     for (i, rank), (a, b) in zip(targets, proposals):
@@ -179,18 +195,21 @@ MAX_RANGES = 10_000
 
 
 def cut_points(df: DataFrame, c: Column, range_rows: int = RANGE_ROWS) -> tuple[list[float], list[float]]:
-    """(ascending cut points, hot values) of a numeric expression, from one bounded sketch.
+    """(ascending cut points, hot values) of a numeric expression, from a bounded sample.
 
     There is one cut per ``range_rows`` rows, at most ``MAX_RANGES``. A value that fills two
     neighbouring cuts holds several ranges' worth of rows: it is reported as hot. The cut points
     only steer parallelism; results built on them are exact wherever they fall.
     """
     values = df.select(c.cast("double").alias("v")).dropna()
-    parts = min(MAX_RANGES, values.count() // range_rows + 1)
+    rows = values.count()
+    parts = min(MAX_RANGES, rows // range_rows + 1)
     if parts == 1:
         return [], []
+    share = 200 * max(parts, 1_000) / rows
+    drawn = values.sample(share, 17) if share < 0.5 else values
     steps = [k / parts for k in range(1, parts)]
-    cuts = values.agg(F.percentile_approx("v", steps, max(10_000, 10 * parts))).first()[0] or []
+    cuts = drawn.agg(F.percentile_approx("v", steps, 10 * max(parts, 1_000))).first()[0] or []
     hot = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
     return sorted(set(cuts)), hot
 

@@ -136,8 +136,8 @@ class Chain:
 class Preprocessor:
     """Split, chain and feature names in one object."""
 
-    def __init__(self, config: dict | None = None, *, key: str):
-        self.config, self.key = config or {}, key
+    def __init__(self, config: dict | None = None, *, key: str, portable: bool = True):
+        self.config, self.key, self.portable = config or {}, key, portable
         self.chain: Chain | None = None
         self.label: str | None = None
         self.feature_names: list[str] | None = None
@@ -151,7 +151,7 @@ class Preprocessor:
         if stratify:
             flagged = stratified_flag(df, label, self.key, test_size, seed, "__validation")
             return flagged.filter("not __validation").drop("__validation"), flagged.filter("__validation").drop("__validation")
-        chosen = is_validation(self.key, test_size, seed)
+        chosen = is_validation(self.key, test_size, seed, self.portable)
         return df.filter(~chosen), df.filter(chosen)
 
     def create_chain(self, steps=None) -> Chain:

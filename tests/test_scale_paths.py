@@ -1,5 +1,7 @@
 """The forms for large or skewed data give what the plain form gives."""
 
+from unittest import mock
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -35,16 +37,17 @@ def skewed(spark):
 def test_quantiles(skewed, max_values):
     df, frame = skewed
     probabilities = [0, 0.01, 0.25, 0.5, 0.75, 0.9, 0.999, 1]
-    found = exact_quantiles(df, ["value", "id"], probabilities, max_values=max_values, accuracy=50)
+    found = exact_quantiles(df, ["value", "id"], probabilities, max_values=max_values, sample=200, accuracy=50)
     for c in ("value", "id"):
         assert np.allclose(found[c], frame[c].quantile(probabilities), rtol=0, atol=1e-9)
 
 
-def test_quantile_search_narrows(spark):
+def test_quantile_search_narrows(spark, monkeypatch):
     """Rounds of narrowing on more values than may be sorted at the end."""
+    monkeypatch.setattr("tabloom.operators.stats.MIN_SORTED", 50)
     values = spark.range(40_000).select((F.pmod(F.xxhash64("id"), F.lit(100_003)) / 7).alias("v"))
     expected = values.toPandas()["v"].quantile([0.1, 0.5, 0.99])
-    found = exact_quantiles(values, ["v"], [0.1, 0.5, 0.99], max_values=1, accuracy=20)["v"]
+    found = exact_quantiles(values, ["v"], [0.1, 0.5, 0.99], max_values=1, sample=300, accuracy=20)["v"]
     assert np.allclose(found, expected)
 
 
@@ -53,7 +56,8 @@ def test_quantile_search_narrows(spark):
 def test_quantiles_of_anything(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v double")
     held = pd.Series([v for v in values if v is not None], dtype="float64")
-    found = exact_quantiles(df, ["v"], [0.25, 0.5], max_values=1, accuracy=4)["v"]
+    with mock.patch("tabloom.operators.stats.MIN_SORTED", 2):
+        found = exact_quantiles(df, ["v"], [0.25, 0.5], max_values=1, sample=3, accuracy=4)["v"]
     if held.notna().any():
         assert np.allclose(found, held.quantile([0.25, 0.5]))
     else:
@@ -97,10 +101,11 @@ def test_number_values_beyond_one_window(spark, skewed):
     assert out["n"].tolist() == list(range(len(out)))
 
 
-def test_number_within_is_row_number(skewed):
+@pytest.mark.parametrize("range_rows", [500_000, 20])
+def test_number_within_is_row_number(skewed, range_rows):
     df, _ = skewed
     order = F.pmod(F.xxhash64("id"), F.lit(1 << 28))
-    out = number_within(df, ["key"], order, "id", "n")
+    out = number_within(df, ["key"], order, "id", "n", range_rows)
     plain = df.withColumn("m", F.row_number().over(Window.partitionBy("key").orderBy(order, "id")))
     assert out.join(plain, "id").filter("n <> m").count() == 0
     assert out.count() == df.count()
