@@ -44,7 +44,7 @@ def rank_blend(spark, folder):
     WITH {PREDICTIONS}, three AS (SELECT *, (m1 + m2) / 2 + 500 AS m3, {VALIDATION} AS held FROM pred),
     sc AS (SELECT -avg((y - m1) * (y - m1)) AS a, -avg((y - m2) * (y - m2)) AS b, -avg((y - m3) * (y - m3)) AS c FROM three WHERE held),
     ra AS (SELECT a - least(a, b, c) + 1e-8 AS a, b - least(a, b, c) + 1e-8 AS b, c - least(a, b, c) + 1e-8 AS c FROM sc)
-    SELECT o_orderkey, {sql_rnd('(m1 * a + m2 * b + m3 * c) / (a + b + c)', 3)} AS blend FROM three, ra""")
+    SELECT o_orderkey, {sql_rnd('(m1 * a + m2 * b + m3 * c) / (a + b + c)', 1)} AS blend FROM three, ra""")
 def weighted_by_score(spark, folder):
     from tabloom.operators.split import train_validation
 
@@ -52,7 +52,7 @@ def weighted_by_score(spark, folder):
     rows = predictions(spark, folder).withColumn("m3", (F.col("m1") + F.col("m2")) / 2 + 500)
     _, validation = train_validation(rows, KEY)
     weights = blend.score_weights(blend.validation_scores(validation, "y", names))
-    return rows.select(KEY, rnd(blend.weighted(names, weights=list(weights.values())), 3).alias("blend"))
+    return rows.select(KEY, rnd(blend.weighted(names, weights=list(weights.values())), 1).alias("blend"))
 
 
 @query("vote_soft", f"WITH {CLASSES} SELECT o_orderkey, CAST((p0 + p1 + p2 / 2) / 3 > 0.25 AS INT) AS vote FROM classes")
