@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tabloom.operators import blend
 from tabloom.operators.split import fold_of, stratified_folds
 from tabloom.operators.stats import quoted
-from tabloom.plans.models import ModelSet, TabularModel, in_threads, model_by_name, tuned_models
+from tabloom.plans.models import ModelSet, TabularModel, in_threads, model_by_name, persisted, tuned_models
 
 
 class Ensemble:
@@ -125,13 +125,11 @@ def _out_of_fold(models, folded: DataFrame, features, label, folds: int, score,
 
     folds x models fits run side by side over one persisted table; scoring stays lazy.
     """
-    folded = folded.persist()
-    jobs = [
-        lambda m=m, k=k: m.copy().fit(folded.filter(F.col("__fold") != k), features, label)
-        for k in range(folds) for m in models
-    ]
-    fitted = in_threads(jobs)
-    folded.unpersist()
+    with persisted(folded, models) as rows:
+        fitted = in_threads([
+            lambda m=m, k=k: m.copy().fit(rows.filter(F.col("__fold") != k), features, label)
+            for k in range(folds) for m in models
+        ])
     parts = None
     for k in range(folds):
         part = folded.filter(F.col("__fold") == k)
@@ -179,11 +177,8 @@ class StackingEnsemble(Ensemble):
 
     def fit(self, df: DataFrame, features: Sequence[str], label: str, validation: DataFrame | None = None) -> "StackingEnsemble":
         self.set.fit(df, features, label, validation)
-        meta_table = self.meta_features(df, features, label).select(label, *self.inputs).persist()
-        try:
-            self.meta.fit(meta_table, self.inputs, label)
-        finally:
-            meta_table.unpersist()
+        with persisted(self.meta_features(df, features, label).select(label, *self.inputs), [self.meta]) as rows:
+            self.meta.fit(rows, self.inputs, label)
         return self
 
     def transform(self, df: DataFrame, to: str | None = None) -> DataFrame:

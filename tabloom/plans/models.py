@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
@@ -333,6 +334,24 @@ def in_threads(jobs: Iterable[Callable[[], object]], threads: int = 4) -> list:
         return [f.result() for f in [pool.submit(inheritable_thread_target(j)) for j in jobs]]
 
 
+@contextmanager
+def persisted(df: DataFrame, models: Sequence[TabularModel]) -> Iterator[DataFrame]:
+    """The table kept for repeated passes; boosters get at least one partition per core.
+
+    Boosting is bound by computing, not by reading, so a few large partitions would leave cores
+    idle. The number of partitions is read off the persisted plan: nothing runs twice for it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    held = [df.persist()]
+    if any(m.config.model_type in BOOSTERS for m in models) and df.rdd.getNumPartitions() < cores:
+        held.append(df.repartition(cores).persist())
+    try:
+        yield held[-1]
+    finally:
+        for d in held:
+            d.unpersist()
+
+
 class ModelSet:
     """Several models on the same features, fitted side by side on one persisted table."""
 
@@ -342,14 +361,11 @@ class ModelSet:
 
     def fit(self, df: DataFrame, features: Sequence[str], label: str, validation: DataFrame | None = None) -> "ModelSet":
         self.features = list(features)
-        train = df.select(*features, label).persist()
         held = validation.select(*features, label).persist() if validation is not None else None
-        try:
+        with persisted(df.select(*features, label), self.models) as train:
             in_threads([lambda m=m: m.fit(train, features, label, held) for m in self.models], self.threads)
-        finally:
-            train.unpersist()
-            if held is not None:
-                held.unpersist()
+        if held is not None:
+            held.unpersist()
         return self
 
     def predict(self, df: DataFrame) -> DataFrame:

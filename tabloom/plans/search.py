@@ -15,7 +15,7 @@ from tabloom.operators import tracking
 from tabloom.operators.metrics import metric
 from tabloom.operators.split import fold_of, stratified_folds
 from tabloom.operators.stats import quoted
-from tabloom.plans.models import TabularModel, in_threads
+from tabloom.plans.models import TabularModel, in_threads, persisted
 from tabloom.sources.results import load_model_config, save_model_config
 
 TRIAL_SCHEMA = "trial bigint, params map<string,string>, score double, ts double"
@@ -156,41 +156,42 @@ class Search:
         validation: DataFrame | None = None, key: str | None = None,
     ) -> "SearchResult":
         """Score on ``validation``, or by the mean over ``cv_folds`` folds of the row key."""
-        spark, c = df.sparkSession, self.config
-        if validation is None:
-            if key is None:
-                raise ValueError("cross-validation needs a row key")
-            rows = df.select(key, *features, label)
+        c = self.config
+        if validation is not None:
+            held = validation.select(*features, label).persist()
+            rows = df.select(*features, label)
+        elif key is None:
+            raise ValueError("cross-validation needs a row key")
+        else:
+            held, rows = None, df.select(key, *features, label)
             if model.classifies:
-                data = stratified_folds(rows, label, key, c.cv_folds, c.random_state, "__fold").persist()
+                rows = stratified_folds(rows, label, key, c.cv_folds, c.random_state, "__fold")
             else:
-                data = rows.withColumn("__fold", fold_of(key, c.cv_folds, c.random_state)).persist()
-            held = None
-        else:
-            data, held = df.select(*features, label).persist(), validation.select(*features, label).persist()
-
+                rows = rows.withColumn("__fold", fold_of(key, c.cv_folds, c.random_state))
+        with persisted(rows, [model]) as data:
+            self._run(model, data, held, features, label)
+        if held is not None:
+            held.unpersist()
+        return SearchResult(self, model, df.sparkSession)
+
+    def _run(self, model: TabularModel, data: DataFrame, held: DataFrame | None, features, label: str) -> None:
+        c, spark = self.config, data.sparkSession
         candidates = METHODS[self.method](spark, c).orderBy("trial").limit(c.n_trials).collect()
         started, best, stale = time.time(), -math.inf, 0
-        try:
-            for at in range(0, len(candidates), c.threads):
-                if c.timeout and time.time() - started > c.timeout:
-                    break
-                batch = [r.asDict() for r in candidates[at:at + c.threads]]
-                jobs = [lambda p=p: self._trial(model, p, data, held, features, label) for p in batch]
-                for params, result in zip(batch, in_threads(jobs, c.threads)):
-                    if result is None:
-                        continue
-                    trial = params.pop("trial")
-                    self.history.append({"trial": trial, "params": params, "score": result, "ts": time.time()})
-                    stale = 0 if result > best else stale + 1
-                    best = max(best, result)
-                    if c.early_stopping_rounds and stale >= c.early_stopping_rounds:
-                        return SearchResult(self, model, spark)
-        finally:
-            data.unpersist()
-            if held is not None:
-                held.unpersist()
-        return SearchResult(self, model, spark)
+        for at in range(0, len(candidates), c.threads):
+            if c.timeout and time.time() - started > c.timeout:
+                return
+            batch = [r.asDict() for r in candidates[at:at + c.threads]]
+            jobs = [lambda p=p: self._trial(model, p, data, held, features, label) for p in batch]
+            for params, result in zip(batch, in_threads(jobs, c.threads)):
+                if result is None:
+                    continue
+                trial = params.pop("trial")
+                self.history.append({"trial": trial, "params": params, "score": result, "ts": time.time()})
+                stale = 0 if result > best else stale + 1
+                best = max(best, result)
+                if c.early_stopping_rounds and stale >= c.early_stopping_rounds:
+                    return
 
     def _trial(self, model, params, data, held, features, label) -> float | None:
         """The score, or None for a candidate that cannot be fitted."""

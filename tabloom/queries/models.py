@@ -127,10 +127,10 @@ def _boosted(kind: str, target: str = "regression"):
     def run(spark, folder):
         if target == "classification":
             rows, features = binary_rows(spark, folder), ["x", "c", "price"]
-            model = model_by_name(kind, target, **SMALL).fit(rows, features, "y")
+            model = ModelSet([model_by_name(kind, target, **SMALL)]).fit(rows, features, "y").models[0]
             return model.score_column(rows, "p").select(KEY, rnd("p").alias("p"))
         rows = regression_rows(spark, folder)
-        model = model_by_name(kind, **SMALL).fit(rows.filter("not held"), ["c", "h"], "y")
+        model = ModelSet([model_by_name(kind, **SMALL)]).fit(rows.filter("not held"), ["c", "h"], "y").models[0]
         return model.predict(rows, "p").select(KEY, rnd("p").alias("p"))
 
     return run
