@@ -11,6 +11,7 @@ from tabloom.operators import blend
 from tabloom.operators.split import fold_of, stratified_folds
 from tabloom.operators.stats import quoted
 from tabloom.plans.models import ModelSet, TabularModel, in_threads, model_by_name, persisted, tuned_models
+from tabloom.session import scratch_path
 
 
 class Ensemble:
@@ -121,22 +122,25 @@ class VotingEnsemble(Ensemble):
 
 
 def _out_of_fold(models, folded: DataFrame, features, label, folds: int, score, prefix: str) -> DataFrame:
-    """Each row scored by models that were fitted without the row's fold.
+    """Each row scored by models that were fitted without the row's fold, feature columns dropped.
 
-    folds x models fits run side by side over one persisted table; scoring stays lazy.
+    folds x models fits run side by side over one persisted table. The scores are written to the
+    shared folder while that table is held, so what follows neither repeats the folds nor the scoring.
     """
     with persisted(folded, models) as rows:
         fitted = in_threads([
             lambda m=m, k=k: m.copy().fit(rows.filter(F.col("__fold") != k), features, label)
             for k in range(folds) for m in models
         ])
-    parts = None
-    for k in range(folds):
-        part = folded.filter(F.col("__fold") == k)
-        for i in range(len(models)):
-            part = score(fitted[k * len(models) + i], part, f"{prefix}{i}")
-        parts = part if parts is None else parts.unionByName(part)
-    return parts
+        parts = None
+        for k in range(folds):
+            part = rows.filter(F.col("__fold") == k)
+            for i in range(len(models)):
+                part = score(fitted[k * len(models) + i], part, f"{prefix}{i}")
+            parts = part if parts is None else parts.unionByName(part)
+        path = scratch_path(folded.sparkSession, "out-of-fold")
+        parts.drop(*features).write.parquet(path)
+    return folded.sparkSession.read.parquet(path)
 
 
 class StackingEnsemble(Ensemble):
