@@ -141,7 +141,7 @@ def random_search(spark, folder):
     return result.trials().select("trial", F.col("params")["alpha"].cast("double").alias("alpha"), rnd("score", 3).alias("score"))
 
 
-@query("search_auto")
+@query("search_auto", _sql_ridge_scores(f"'grid' AS method, trial, {sql_rnd('score', 3)} AS score"))
 def automatic(spark, folder):
     rows = regression_rows(spark, folder)
     search = auto_search({"alpha": ALPHAS}, n_trials=3)
