@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabloom.llm import lines, mixing
+from tabloom.llm import bpe, lines, mixing, token_counts
+
+VOCABULARY = "byte_bpe_50k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -31,6 +35,21 @@ def mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_report(_table(spark, folder, "documents"))
 
 
+@_query("op2_token_counts")
+def count_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = bpe.load(spark, public_tokenizers.path(VOCABULARY))
+    return token_counts.token_counts(_table(spark, folder, "documents"), tokenizer)
+
+
+@_query("op7_bpe")
+def encode_and_decode(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = bpe.load(spark, public_tokenizers.path(VOCABULARY))
+    encoded = bpe.encode(_table(spark, folder, "documents").select("doc_id", "text"), tokenizer, keep_text=False)
+    return bpe.decode(encoded, tokenizer).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
 @_query("op10_line_dedup", lines.SQL)
 def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.clean_lines(_table(spark, folder, "documents")).select("doc_id", "text", "n_lines", "n_removed")
