@@ -25,6 +25,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
+from tabloom.llm.common import schema_with
+
 #: Fixed: how this vocabulary splits text into words.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Entries of the tables that are filled while encoding, per Python worker; full tables start again empty.
@@ -204,11 +206,6 @@ def _replace(batch: pa.RecordBatch, drop: list[str], add: dict[str, pa.Array]) -
     return pa.RecordBatch.from_arrays([*[batch.column(n) for n in keep], *add.values()], [*keep, *add])
 
 
-def _schema(docs: DataFrame, without: set[str], more: str) -> str:
-    kept = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name not in without]
-    return ", ".join([*kept, more])
-
-
 def encode(docs: DataFrame, tokenizer, text: str = "text", keep_text: bool = True) -> DataFrame:
     """``docs`` with ``n_tokens`` long and ``ids`` binary (little-endian unsigned 32-bit numbers).
 
@@ -224,7 +221,7 @@ def encode(docs: DataFrame, tokenizer, text: str = "text", keep_text: bool = Tru
             ids = [automaton.encode(t) if t else b"" for t in batch.column(text).to_pylist()]
             yield _replace(batch, drop, {"n_tokens": pa.array([len(i) // 4 for i in ids], pa.int64()), "ids": pa.array(ids, pa.binary())})
 
-    return docs.mapInArrow(run, _schema(docs, {"n_tokens", "ids", *drop}, "n_tokens bigint, ids binary"))
+    return docs.mapInArrow(run, schema_with(docs, ["n_tokens", "ids", *drop], "n_tokens bigint, ids binary"))
 
 
 def decode(encoded: DataFrame, tokenizer, ids: str = "ids", into: str = "decoded") -> DataFrame:
@@ -240,4 +237,4 @@ def decode(encoded: DataFrame, tokenizer, ids: str = "ids", into: str = "decoded
             texts = [automaton.decode(i) if i else "" for i in batch.column(ids).to_pylist()]
             yield _replace(batch, [], {into: pa.array(texts, pa.string())})
 
-    return encoded.mapInArrow(run, _schema(encoded, {into}, f"{into} string"))
+    return encoded.mapInArrow(run, schema_with(encoded, [into], f"{into} string"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.session import scratch_path
+from tabloom.llm.common import kept
 
 MIN_SITES = 5
 MOST_LOST = 0.7
@@ -38,13 +38,7 @@ def line_table(docs: DataFrame, site: str = "source") -> DataFrame:
     )
     bare = F.btrim("line", F.lit(BLANKS))
     keys = cut.where(bare != "").select(F.xxhash64(bare).alias("k1"), F.hash(bare).alias("k2"), "t1", "t2", "at", "site")
-    return _kept(keys, "lines")
-
-
-def _kept(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return kept(keys, "lines")
 
 
 def spread(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
@@ -52,7 +46,7 @@ def spread(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     band = max(1.0, NEAR * min_sites)
     sketches = lines.groupBy("k1", "k2").agg(F.hll_sketch_agg("site", F.lit(LG_K)).alias("sketch"))
     estimated = sketches.select("k1", "k2", F.hll_sketch_estimate("sketch").alias("sites")).where(F.col("sites") >= min_sites - band)
-    estimated = _kept(estimated, "line-spread")
+    estimated = kept(estimated, "line-spread")
     near = estimated.where(F.col("sites") <= min_sites + band)
     counted = lines.join(near.select("k1", "k2"), ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.countDistinct("site").alias("sites"))
     sure = estimated.where(F.col("sites") > min_sites + band)
@@ -69,13 +63,13 @@ def clean_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITE
     """
     names = docs.columns
     lines = line_table(docs, site)
-    boilerplate = _kept(spread(lines, min_sites).where(F.col("sites") >= min_sites).select("k1", "k2"), "boilerplate")
+    boilerplate = kept(spread(lines, min_sites).where(F.col("sites") >= min_sites).select("k1", "k2"), "boilerplate")
     drop = lines.join(boilerplate, ["k1", "k2"], "left_semi").groupBy("t1", "t2").agg(F.collect_set("at").alias("_drop"))
     keyed = docs.select("*", *[c.alias(f"_{n}") for c, n in zip(_text_key("text"), ("t1", "t2"))])
     joined = keyed.join(drop.select(F.col("t1").alias("_d1"), F.col("t2").alias("_d2"), "_drop"), (F.col("_t1") == F.col("_d1")) & (F.col("_t2") == F.col("_d2")), "left")
     all_lines = _lines("text")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col("_drop"))
-    cleaned = F.array_join(F.transform(kept, lambda i: F.get(F.col("_lines"), i)), "\n")
+    stay = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col("_drop"))
+    cleaned = F.array_join(F.transform(stay, lambda i: F.get(F.col("_lines"), i)), "\n")
     joined = joined.withColumn("_lines", F.when(F.col("_drop").isNotNull(), all_lines)).withColumn("_clean", cleaned)
     cut = F.col("_clean").isNotNull() & (F.length("_clean") >= F.length("text") * (1 - most_lost))
     return joined.select(

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabloom.session import scratch_path
+from tabloom.llm.common import kept
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -88,11 +88,11 @@ def cuts(sized: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.
     aims = targets(sizes, weights, share, most)
     copies = F.when(F.col("source_size") > 0, F.floor(F.least(F.col("target") / F.col("source_size"), F.lit(most - 1)))).otherwise(0)
     aims = aims.withColumn("copies", copies.cast("int"))
-    aims = _kept(aims.withColumn("budget", F.col("target") - F.col("copies") * F.col("source_size")), "mix-targets")
+    aims = kept(aims.withColumn("budget", F.col("target") - F.col("copies") * F.col("source_size")), "mix-targets")
     open_ = aims.select("source", "budget", F.lit(0).cast("bigint").alias("words_before"))
     rows = sized
     for level in range(LEVELS):
-        ends = _kept(_boundary(rows, open_, level), f"mix-level{level}")
+        ends = kept(_boundary(rows, open_, level), f"mix-level{level}")
         cut = ends.select(F.col("source").alias("_s"), F.col("bucket").alias("_b"))
         if level + 1 < LEVELS:
             here = F.shiftright("place", BITS * (LEVELS - 1 - level))
@@ -101,18 +101,11 @@ def cuts(sized: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.
     nearer = F.col("words_before") + F.col("words_in") / 2 <= F.col("budget")
     last = ends.select(F.col("source").alias("_s"), (F.col("bucket") + nearer.cast("int")).alias("_cut"))
     ended = aims.join(last, F.col("source").eqNullSafe(F.col("_s")), "left")
-    return _kept(
+    return kept(
         ended.select("source", "source_size", "target", "copies", F.coalesce("_cut", F.lit(1 << BITS * LEVELS)).alias("cut")), "mix-cuts",
     )
 
 
-def _kept(df: DataFrame, name: str) -> DataFrame:
-    """Written once to the shared folder and read from there."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _small(table: DataFrame) -> DataFrame:
     """Marked for broadcasting if its names and numbers are few enough bytes."""
     name = table.columns[0]
@@ -130,7 +123,7 @@ def mixed(docs: DataFrame, cut_table: DataFrame, seed: int = 42) -> DataFrame:
 
 def measure(docs: DataFrame, seed: int = 42) -> DataFrame:
     """(doc_id, source, size, place) of every row, kept in the shared folder: texts are read once."""
-    return _kept(docs.select("doc_id", "source", n_words("text").alias("size"), place("doc_id", "text", seed).alias("place")), "mix-sized")
+    return kept(docs.select("doc_id", "source", n_words("text").alias("size"), place("doc_id", "text", seed).alias("place")), "mix-sized")
 
 
 def mix_report(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.5, most: float = 2.0, seed: int = 42) -> DataFrame:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import bpe, lines, mixing, token_counts
+from tabloom.llm import bpe, language, lines, mixing, near_dup, token_counts
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -41,6 +41,12 @@ def count_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, folder, "documents"), tokenizer)
 
 
+@_query("op4_language_id")
+def identify_language(spark: SparkSession, folder: str) -> DataFrame:
+    found = language.identify(_table(spark, folder, "documents"))
+    return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 @_query("op7_bpe")
 def encode_and_decode(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = bpe.load(spark, public_tokenizers.path(VOCABULARY))
@@ -50,6 +56,11 @@ def encode_and_decode(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query("op8_near_duplicates")
+def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dup.near_duplicates(_table(spark, folder, "documents"), width=3, percent=85)
+
+
 @_query("op10_line_dedup", lines.SQL)
 def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.clean_lines(_table(spark, folder, "documents")).select("doc_id", "text", "n_lines", "n_removed")
