@@ -25,7 +25,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from tabloom.llm.common import schema_with
+from tabloom.llm.common import on_executors, schema_with
 
 #: Fixed: how this vocabulary splits text into words.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -221,7 +221,7 @@ def encode(docs: DataFrame, tokenizer, text: str = "text", keep_text: bool = Tru
             ids = [automaton.encode(t) if t else b"" for t in batch.column(text).to_pylist()]
             yield _replace(batch, drop, {"n_tokens": pa.array([len(i) // 4 for i in ids], pa.int64()), "ids": pa.array(ids, pa.binary())})
 
-    return docs.mapInArrow(run, schema_with(docs, ["n_tokens", "ids", *drop], "n_tokens bigint, ids binary"))
+    return on_executors(docs, run, schema_with(docs, ["n_tokens", "ids", *drop], "n_tokens bigint, ids binary"))
 
 
 def decode(encoded: DataFrame, tokenizer, ids: str = "ids", into: str = "decoded") -> DataFrame:
@@ -237,4 +237,4 @@ def decode(encoded: DataFrame, tokenizer, ids: str = "ids", into: str = "decoded
             texts = [automaton.decode(i) if i else "" for i in batch.column(ids).to_pylist()]
             yield _replace(batch, [], {into: pa.array(texts, pa.string())})
 
-    return encoded.mapInArrow(run, schema_with(encoded, [into], f"{into} string"))
+    return on_executors(encoded, run, schema_with(encoded, [into], f"{into} string"))

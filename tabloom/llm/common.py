@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import os
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +22,25 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def on_executors(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow(run, schema)``, with this package sent to the executors once a session."""
+    sc = df.sparkSession.sparkContext
+    if sc.applicationId not in _shipped:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        archive = os.path.join(tempfile.mkdtemp(prefix="tabloom-"), "tabloom.zip")
+        with zipfile.ZipFile(archive, "w") as z:
+            for folder, _, names in os.walk(package):
+                for name in names:
+                    if name.endswith(".py"):
+                        z.write(path := os.path.join(folder, name), os.path.relpath(path, os.path.dirname(package)))
+        sc.addPyFile(archive)
+        _shipped.add(sc.applicationId)
+    return df.mapInArrow(run, schema)
+
+
 def schema_with(df: DataFrame, without: Sequence[str], more: str) -> str:
     """The columns of ``df`` but some, and more, as a schema string."""
     held = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name not in without]

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabloom.llm.common import on_executors
 from tabloom.session import scratch_path
 
 ORDERS = (1, 2, 3)
@@ -126,7 +127,7 @@ def _document_frequencies(rows: DataFrame, dimensions: int) -> np.ndarray:
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(seen[at], pa.int64())], ["at", "n"])
 
-    found = rows.select("text").mapInArrow(count, "at int, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
+    found = on_executors(rows.select("text"), count, "at int, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
     seen = np.zeros(dimensions + 1)
     seen[found["at"].to_numpy(np.int64)] = found["n"].to_numpy(np.float64)
     return np.log((1 + seen[-1]) / (1 + seen[:-1])) + 1
@@ -177,7 +178,7 @@ def fit(learnable: DataFrame, label: str = "lang", sample: int = SAMPLE, dimensi
         )
 
     path = scratch_path(spark, "language-model")
-    sparse = drawn.mapInArrow(vectors, "label int, draw bigint, at binary, x binary")
+    sparse = on_executors(drawn, vectors, "label int, draw bigint, at binary, x binary")
     sparse.repartition(1).mapInArrow(learn, "at int, cls int, weight double").write.parquet(path)
     learned = spark.read.parquet(path).toPandas()
     t = float(learned.loc[learned["at"] < 0, "weight"].iloc[0])
@@ -216,7 +217,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             )
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields if f.name != "_letters")
-    return base.mapInArrow(run, f"{kept}, lang_pred string, score double")
+    return on_executors(base, run, f"{kept}, lang_pred string, score double")
 
 
 def held_out(doc_id: Column | str) -> Column:

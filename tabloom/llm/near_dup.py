@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import Forest, blocked, groups, kept
+from tabloom.llm.common import Forest, blocked, groups, kept, on_executors
 from tabloom.llm.components import components
 
 VALUES = 40
@@ -98,7 +98,7 @@ def sign(docs: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n_shingles", "f1", "f2", "signature"])
 
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return kept(narrow.mapInArrow(run, "doc_id bigint, n_shingles bigint, f1 bigint, f2 bigint, signature binary"), "signed")
+    return kept(on_executors(narrow, run, "doc_id bigint, n_shingles bigint, f1 bigint, f2 bigint, signature binary"), "signed")
 
 
 def index_keys(values: np.ndarray) -> np.ndarray:
@@ -129,7 +129,7 @@ def _indexed(classes: DataFrame) -> DataFrame:
             rep = np.repeat(batch.column("rep").to_numpy(), keys.shape[1])
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(rep)], ["key", "rep"])
 
-    return classes.select("rep", "signature").mapInArrow(run, "key bigint, rep bigint")
+    return on_executors(classes.select("rep", "signature"), run, "key bigint, rep bigint")
 
 
 def _n_blocks(members: Column, root_share: float, *, shingle_sum: Column | None = None) -> Column:
@@ -221,7 +221,7 @@ def _sets(docs: DataFrame, members: DataFrame, width: int) -> DataFrame:
     joined = members.join(texts, F.col("rep") == F.col("_doc")).drop("_doc")
     names = [f for f in joined.schema.fields if f.name != "text"]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in names) + ", found binary"
-    return joined.mapInArrow(run, schema).where("found IS NOT NULL")
+    return on_executors(joined, run, schema).where("found IS NOT NULL")
 
 
 def linked(docs: DataFrame, signed: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -236,7 +236,7 @@ def linked(docs: DataFrame, signed: DataFrame, width: int, percent: int) -> tupl
     met = occurrences.join(shared, "key").join(classes.select("rep", "signature"), "rep")
     met = blocked(met, ["key"], F.col("rep"), _n_blocks(F.col("members"), 0.1)).select("key", "block_a", "block_b", "rep", "signature")
     dealt = met.repartition("key", "block_a", "block_b").sortWithinPartitions("key", "block_a", "block_b")
-    near = kept(dealt.mapInArrow(_near_links, "a bigint, b bigint").distinct(), "near-links")
+    near = kept(on_executors(dealt, _near_links, "a bigint, b bigint").distinct(), "near-links")
 
     families = kept(components(near).select(F.col("node").alias("rep"), F.col("component").alias("family")), "families")
     members = families.join(classes.select("rep", "f1", "f2", "n"), "rep")
@@ -245,7 +245,7 @@ def linked(docs: DataFrame, signed: DataFrame, width: int, percent: int) -> tupl
     blocks = _n_blocks(F.col("members"), 0.4, shingle_sum=F.col("total"))
     dealt = blocked(found, ["family"], F.col("rep"), blocks).select("family", "block_a", "block_b", "rep", "found")
     dealt = dealt.repartition("family", "block_a", "block_b").sortWithinPartitions("family", "block_a", "block_b")
-    links = kept(dealt.mapInArrow(_confirmed_links(percent), "a bigint, b bigint").distinct(), "confirmed-links")
+    links = kept(on_executors(dealt, _confirmed_links(percent), "a bigint, b bigint").distinct(), "confirmed-links")
     return classes, components(links)
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import bpe, language, lines, mixing, near_dup, token_counts
+from tabloom.llm import bpe, language, lines, mixing, near_dup, spans, token_counts
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -61,6 +61,11 @@ def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, folder, "documents"), width=3, percent=85)
 
 
+@_query("op9_substring_dedup")
+def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return spans.remove_repeats(_table(spark, folder, "documents")).select("doc_id", "text", "n_sentences", "n_removed")
+
+
 @_query("op10_line_dedup", lines.SQL)
 def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.clean_lines(_table(spark, folder, "documents")).select("doc_id", "text", "n_lines", "n_removed")

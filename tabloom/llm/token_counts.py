@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabloom.llm import bpe
+from tabloom.llm.common import on_executors
 
 #: Lengths summed in one window partition; sums of such stretches go through a second window, one row each.
 STRETCH = 1 << 10
@@ -28,7 +29,7 @@ def lengths(docs: DataFrame, tokenizer, text: str = "text") -> DataFrame:
             sizes = [len(automaton.encode(t)) // 4 if t else 0 for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(sizes, pa.int64())], ["n_tokens"])
 
-    return docs.select(text).mapInArrow(run, "n_tokens bigint")
+    return on_executors(docs.select(text), run, "n_tokens bigint")
 
 
 def histogram(counted: DataFrame) -> DataFrame:
