@@ -25,12 +25,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from tabloom.llm.common import on_executors, schema_with
+from tabloom.llm.common import on_executors, schema_with, sliced
 
 #: Fixed: how this vocabulary splits text into words.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Entries of the tables that are filled while encoding, per Python worker; full tables start again empty.
-MEMO = 250_000
+MEMO = 200_000
 _ALWAYS = 1 << 60
 
 
@@ -77,7 +77,7 @@ class Tables:
 
 
 class Automaton:
-    """Encoder and decoder of one Python worker, with the tables it has filled so far."""
+    """Encoder of one Python worker, with the tables it has filled so far."""
 
     def __init__(self, tables: Tables):
         self.tables = tables
@@ -166,8 +166,9 @@ class Automaton:
             return b"".join(array("I", [special[p]]).tobytes() if p in special else self._plain(p) for p in pieces if p)
         return self._plain(text) if text else b""
 
-    def decode(self, ids: bytes) -> str:
-        return b"".join(map(self.tables.labels.__getitem__, memoryview(ids).cast("I"))).decode("utf-8", "replace")
+
+def decode_ids(tables: Tables, ids: bytes) -> str:
+    return b"".join(map(tables.labels.__getitem__, memoryview(ids).cast("I"))).decode("utf-8", "replace")
 
 
 class _Memo(dict):
@@ -217,7 +218,7 @@ def encode(docs: DataFrame, tokenizer, text: str = "text", keep_text: bool = Tru
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _automaton(name, tables)
-        for batch in batches:
+        for batch in sliced(batches):
             ids = [automaton.encode(t) if t else b"" for t in batch.column(text).to_pylist()]
             yield _replace(batch, drop, {"n_tokens": pa.array([len(i) // 4 for i in ids], pa.int64()), "ids": pa.array(ids, pa.binary())})
 
@@ -229,12 +230,11 @@ def decode(encoded: DataFrame, tokenizer, ids: str = "ids", into: str = "decoded
 
     Bytes that are no valid UTF-8, as when ids were cut off inside a character, become U+FFFD.
     """
-    name, tables = tokenizer
+    tables = tokenizer[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = _automaton(name, tables)
-        for batch in batches:
-            texts = [automaton.decode(i) if i else "" for i in batch.column(ids).to_pylist()]
+        for batch in sliced(batches):
+            texts = [decode_ids(tables.value, i) if i else "" for i in batch.column(ids).to_pylist()]
             yield _replace(batch, [], {into: pa.array(texts, pa.string())})
 
     return on_executors(encoded, run, schema_with(encoded, [into], f"{into} string"))

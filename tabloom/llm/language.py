@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import on_executors
+from tabloom.llm.common import on_executors, sliced
 from tabloom.session import scratch_path
 
 ORDERS = (1, 2, 3)
@@ -120,7 +120,7 @@ def _document_frequencies(rows: DataFrame, dimensions: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(dimensions + 1, np.int64)
-        for batch in batches:
+        for batch in sliced(batches):
             for text in batch.column(0).to_pylist():
                 seen[:-1] += gram_counts(text, dimensions) > 0
                 seen[-1] += 1
@@ -154,7 +154,7 @@ def fit(learnable: DataFrame, label: str = "lang", sample: int = SAMPLE, dimensi
     drawn = rows.where(draw < share).withColumn("draw", F.xxhash64("text", F.lit(seed + 1)))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             out = []
             for name, text, order in zip(*[batch.column(n).to_pylist() for n in ("label", "text", "draw")]):
                 x = tf_idf(text, shared.value)
@@ -200,7 +200,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for batch in batches:
+        for batch in sliced(batches):
             names, scores = [], []
             for text, letters in zip(batch.column("text").to_pylist(), batch.column("_letters").to_pylist()):
                 if letters and known.languages:

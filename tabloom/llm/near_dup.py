@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import Forest, blocked, groups, kept, on_executors
+from tabloom.llm.common import Forest, blocked, groups, kept, on_executors, sliced
 from tabloom.llm.components import components
 
 VALUES = 40
@@ -88,7 +88,7 @@ def sign(docs: DataFrame, width: int) -> DataFrame:
     """(doc_id, n_shingles, f1, f2, signature) of every row, kept in the shared folder."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             out = []
             for text in batch.column("text").to_pylist():
                 found = shingles(text, width)
@@ -209,7 +209,7 @@ def _sets(docs: DataFrame, members: DataFrame, width: int) -> DataFrame:
     """``members`` with ``found``: the set of each class, from the text of a document that has it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             out = []
             for text, f1, f2 in zip(*[batch.column(n).to_pylist() for n in ("text", "f1", "f2")]):
                 found = shingles(text, width)

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import kept, on_executors, schema_with
+from tabloom.llm.common import kept, on_executors, schema_with, sliced
 
 WORDS = 50
 #: A sentence ends after . ! ? or with its line, and before a capital that follows a small letter: a passage that was
@@ -60,7 +60,7 @@ def run_table(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """(h1, h2, doc_id): each different run of each document, kept in the shared folder."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             ids, hashes = [], []
             for doc, text in zip(batch.column("doc_id").to_numpy(zero_copy_only=False).tolist(), batch.column("text").to_pylist()):
                 found = np.unique(runs(sentences(text)[0], words)[2], axis=0)
@@ -95,7 +95,7 @@ def remove_repeats(docs: DataFrame, words: int = WORDS) -> DataFrame:
     joined = base.join(drop, F.col("doc_id").cast("bigint") == F.col("_doc"), "left").drop("_doc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             cleaned = [_clean(t, set(d or ()), words) for t, d in zip(batch.column("text").to_pylist(), batch.column("_repeats").to_pylist())]
             names = [n for n in batch.schema.names if n != "_repeats"]
             columns = [pa.array([c[0] for c in cleaned], pa.string()) if n == "text" else batch.column(n) for n in names]

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabloom.llm import bpe
-from tabloom.llm.common import on_executors
+from tabloom.llm.common import on_executors, sliced
 
 #: Lengths summed in one window partition; sums of such stretches go through a second window, one row each.
 STRETCH = 1 << 10
@@ -25,7 +25,7 @@ def lengths(docs: DataFrame, tokenizer, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = bpe._automaton(name, tables)
-        for batch in batches:
+        for batch in sliced(batches):
             sizes = [len(automaton.encode(t)) // 4 if t else 0 for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(sizes, pa.int64())], ["n_tokens"])
 
