@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import bpe, language, lines, mixing, near_dup, spans, token_counts
+from tabloom.llm import ball_tree, bpe, cross_polytope, language, lines, mixing, near_dup, spans, token_counts
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -30,6 +30,16 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@_query("op1_cross_polytope")
+def cross_polytope_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return cross_polytope.nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@_query("op5_ball_tree", ball_tree.SQL)
+def ball_tree_top_products(spark: SparkSession, folder: str) -> DataFrame:
+    return ball_tree.top_products(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @_query("op3_mix_sources", mixing.SQL)
 def mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_report(_table(spark, folder, "documents"))
