@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import ball_tree, bpe, cross_polytope, language, lines, mixing, near_dup, spans, token_counts
+from tabloom.llm import ball_tree, bpe, cross_polytope, language, lines, mixing, near_dup, pages, spans, token_counts
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -57,6 +57,11 @@ def identify_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+@_query("op6_page_differencing")
+def extract_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extract(_table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 @_query("op7_bpe")
 def encode_and_decode(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = bpe.load(spark, public_tokenizers.path(VOCABULARY))
