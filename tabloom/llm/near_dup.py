@@ -271,6 +271,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
 
 def deduplicate(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that ``near_duplicates`` keeps, same columns; rows alike in every column once."""
-    found = near_duplicates(docs, width, percent).where("NOT kept").select(F.col("doc_id").alias("_doc")).distinct()
-    return docs.join(found, F.col("doc_id").cast("bigint") == F.col("_doc"), "left_anti")
+    """The rows of ``docs`` that ``near_duplicates`` keeps, same columns; of rows with the same doc_id one stays.
+
+    Rows without doc_id, and documents without words, are copies of nothing and stay.
+    """
+    gone = near_duplicates(docs, width, percent).where("NOT kept").select(F.col("doc_id").alias("_doc")).distinct()
+    key = F.col("doc_id").cast("bigint")
+    stay = docs.join(gone, key == F.col("_doc"), "left_anti")
+    twice = docs.groupBy(key.alias("_twice")).agg(F.count("*").alias("_rows")).where("_rows > 1 AND _twice IS NOT NULL").select("_twice")
+    twice = kept(twice, "repeated-ids")
+    single = stay.join(twice, key == F.col("_twice"), "left_anti")
+    return single.unionByName(stay.join(twice, key == F.col("_twice"), "left_semi").dropDuplicates(["doc_id"]))
