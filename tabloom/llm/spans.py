@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 from tabloom.llm.common import kept, on_executors, schema_with, sliced
 
 WORDS = 50
-#: A sentence ends after . ! ? or with its line, and before a capital that follows a small letter: a passage that was
+#: A sentence ends after . ! ? or with its line, and before a capital that follows no capital: a passage that was
 #: pasted into a sentence begins there.
-ENDS = regex.compile(r"""((?<=[.!?…]["'”’)\]]?)\s+|\s*\n\s*|(?<=[\p{Ll},;:])\s+(?=\p{Lu}))""")
+ENDS = regex.compile(r"""((?<=[.!?…]["'”’)\]]?)\s+|\s*\n\s*|(?<=[\p{Ll}\p{N},;:])\s+(?=\p{Lu}))""")
 
 
 def sentences(text: str) -> tuple[list[str], list[str]]:
