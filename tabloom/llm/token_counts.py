@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabloom.llm import bpe
-from tabloom.llm.common import on_executors, sliced
+from tabloom.llm.common import kept, on_executors, sliced
 
 #: Lengths summed in one window partition; sums of such stretches go through a second window, one row each.
 STRETCH = 1 << 10
@@ -88,4 +88,4 @@ def quantiles(summed: DataFrame, shares: Sequence[float]) -> DataFrame:
 
 def token_counts(docs: DataFrame, tokenizer, text: str = "text") -> DataFrame:
     """``sums`` of the texts of a table. Null texts count as documents of length 0; other columns are not read."""
-    return sums(histogram(lengths(docs, tokenizer, text)))
+    return sums(kept(histogram(lengths(docs, tokenizer, text)), "length-histogram"))
