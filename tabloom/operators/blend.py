@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.operators.rank import average_rank
+from tabloom.operators.rank import value_ranks, with_ranks
 from tabloom.operators.stats import quoted
 
 # Floors of the geometric mean and of the score-based weights.
@@ -38,12 +38,16 @@ def geometric(columns: Sequence[str]) -> Column:
 
 
 def rank_average(df: DataFrame, columns: Sequence[str], to: str) -> DataFrame:
-    """Row mean of the average-tie ranks of each column."""
-    names = df.columns
+    """Row mean of the average-tie ranks of each column.
+
+    Every rank table is made from ``df`` itself, so the plan grows by one table and one join a column.
+    """
+    ranked = df
     for c in columns:
-        df = average_rank(df, c, f"__rank_{c}")
+        ranks, hot = value_ranks(df, c, f"__rank_{c}")
+        ranked = with_ranks(ranked, c, ranks, hot)
     mean = average([f"__rank_{c}" for c in columns]).alias(to)
-    return df.select(*[quoted(c) for c in names], mean)
+    return ranked.select(*[quoted(c) for c in df.columns], mean)
 
 
 def score_weights(scores: Mapping[str, float]) -> dict[str, float]:

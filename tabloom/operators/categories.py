@@ -31,19 +31,19 @@ class CategoryTable:
     @staticmethod
     def build(
         df: DataFrame, columns: Sequence[str], aggregates: Mapping[str, Column], codes: bool = False,
-        max_local: int = MAX_LOCAL, extra_keys: Sequence[str] = (),
+        max_local: int = MAX_LOCAL, extra_keys: Sequence[str] = (), null_as: str | None = MISSING,
     ) -> dict:
-        """``aggregates`` may use every column of ``df``; NULL counts as its own category."""
+        """``aggregates`` may use every column of ``df``. NULL is the category ``null_as``; with None it has no entry."""
         if not columns:
             return {"columns": {}, "names": [], "keys": []}
         pairs = F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.coalesce(quoted(c), F.lit(MISSING)).alias("category"))
+            F.struct(F.lit(c).alias("column"), F.coalesce(quoted(c), F.lit(null_as)).alias("category"))
             for c in columns
         ]))
         keys = ["column", "category", *extra_keys]
         grouped = (
             df.withColumn("__pair", pairs).select("*", "__pair.column", "__pair.category")
-            .groupBy(*keys).agg(F.count("*").alias("__rows"), *[a.alias(n) for n, a in aggregates.items()])
+            .filter("category IS NOT NULL").groupBy(*keys).agg(F.count("*").alias("__rows"), *[a.alias(n) for n, a in aggregates.items()])
         )
         names = list(aggregates)
         local = grouped.limit(max_local + 1).collect()
@@ -73,15 +73,15 @@ class CategoryTable:
         state: dict = {"columns": {}, "names": list(names), "keys": extra_keys}
         for c in columns:
             one = table.filter(F.col("column") == c).drop("column")
-            heavy = one.groupBy("category").agg(F.sum("__rows").alias("n"))
-            total = heavy.agg(F.sum("n"), F.count("*")).first()
+            heavy = one.groupBy("category").agg(F.sum("__rows").alias("n"), F.count("*").alias("entries"))
+            total = heavy.agg(F.sum("n"), F.sum("entries")).first()  # an entry per category, or per category and extra key
             hot = heavy.filter(F.col("n") * HOT_SHARE > F.lit(total[0])).select("category").collect()
             where = raw
             if codes:
                 where = f"{path}/codes/column={c}"
                 number_values(one, "category", "code").write.parquet(where)
             state["columns"][c] = {
-                "path": where, "coded": codes, "count": total[1], "hot": [r[0] for r in hot],
+                "path": where, "coded": codes, "count": total[1] or 0, "hot": [r[0] for r in hot],
             }
         if codes:
             state["names"].append("code")

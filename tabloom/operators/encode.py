@@ -13,18 +13,21 @@ from tabloom.operators.split import fold_of
 from tabloom.operators.stats import quoted, value
 
 
+NULL = "\uffff"  # stands for NULL where that is apart from every text; sorts last
+
+
 class CategoricalEncoder(Step):
     """Encode string columns; all columns are fitted by one grouped aggregate.
 
     ``label``: 0-based code in sorted order, missing is the category ``'missing'``, unknown gives
-    ``unknown_value``. ``onehot``: one 0/1 column per category (NULL is its own category), the
-    source column goes; above ``max_columns`` categories one sparse vector column
-    ``<column>_onehot`` instead. ``target``: mean label per category; unknown takes the mean of
-    ``'missing'`` rows, or 0.
+    ``unknown_value``. ``onehot``: one 0/1 column per category, the source column goes; NULL is a
+    category of its own, ``<column>_nan``, apart from the text ``'missing'``. Only if ``max_columns``
+    is set, more categories become one sparse vector column ``<column>_onehot``. ``target``: mean
+    label per category; NULL and unknown take the mean of rows with the text ``'missing'``, or 0.
     """
 
     defaults = {
-        "method": "label", "handle_unknown": "use_encoded_value", "unknown_value": -1, "max_columns": 200,
+        "method": "label", "handle_unknown": "use_encoded_value", "unknown_value": -1, "max_columns": None,
         "max_local": 20_000,
     }
 
@@ -35,14 +38,14 @@ class CategoricalEncoder(Step):
             table = CategoryTable.build(df, columns, {}, codes=True, max_local=size)
             return LabelEncoderModel(table=table, unknown=self.opt("unknown_value"))
         if method == "onehot":
-            table = CategoryTable.build(df, columns, {}, codes=True, max_local=size)
+            table = CategoryTable.build(df, columns, {}, codes=True, max_local=size, null_as=NULL)
             return OneHotEncoderModel(table=table, max_columns=self.opt("max_columns"))
         if method == "target":
             label = self.opt("label")
             if not label:
                 raise ValueError("target encoding needs a label column")
             table = CategoryTable.build(
-                df, columns, {"mean": F.avg(value(df, label).cast("double"))}, max_local=size
+                df, columns, {"mean": F.avg(value(df, label).cast("double"))}, max_local=size, null_as=None
             )
             overall = {c: _missing_mean(df.sparkSession, table, c) for c in columns}
             return TargetEncoderModel(table=table, unknown=overall)
@@ -85,21 +88,23 @@ class OneHotEncoderModel(Fitted):
         for c in present(df, table["columns"]):
             held = table["columns"][c]
             count = len(held["rows"]) if "rows" in held else held["count"]
-            if count > self.fitted["max_columns"]:
+            if self.fitted["max_columns"] is not None and count > self.fitted["max_columns"]:
                 df = _one_hot_vector(df, table, c, count)
                 continue
-            filled = F.coalesce(quoted(c), F.lit(MISSING))
-            flags = {
-                f"{c}_{v}": F.when(filled == F.lit(v), 1.0).otherwise(0.0)
-                for v in CategoryTable.categories(table, c)
-            }
+            filled = F.coalesce(quoted(c), F.lit(NULL))
+            known = CategoryTable.categories(table, c)
+            names = [f"{c}_{'nan' if v == NULL else v}" for v in known]
+            if len(set(names)) < len(names):
+                names = [f"{c}_{'nan_null' if v == NULL else v}" for v in known]  # the text 'nan' is a category too
+            flags = {n: F.when(filled == F.lit(v), 1.0).otherwise(0.0) for n, v in zip(names, known)}
             df = append_columns(df, flags).drop(quoted(c))
         return df
 
 
 def _one_hot_vector(df: DataFrame, table: dict, column: str, count: int) -> DataFrame:
+    marked = df.withColumn(column, F.coalesce(quoted(column), F.lit(NULL)))
     coded = CategoryTable.join(
-        df, table, column, {"code": "bigint"}, {"code": "__code"}, {"code": count}
+        marked, table, column, {"code": "bigint"}, {"code": "__code"}, {"code": count}
     ).withColumn("__code", F.col("__code").cast("double"))
     sizes = df.sparkSession.range(count - 1, count).select(F.col("id").cast("double").alias("__code"))
     encoder = OneHotEncoder(
@@ -109,17 +114,19 @@ def _one_hot_vector(df: DataFrame, table: dict, column: str, count: int) -> Data
 
 
 def out_of_fold_target(
-    df: DataFrame, column: str, label: str, key: str, to: str, folds: int = 5, seed: int = 42
+    df: DataFrame, column: str, label: str, key: str, to: str, folds: int = 5, seed: int = 42, null_as: str | None = None,
 ) -> DataFrame:
     """Mean label of the row's category over the *other* folds; 0 where no other row has it.
 
+    NULL takes what rows with the text 'missing' in the other folds have; ``null_as`` counts NULL rows in as such.
+
     One aggregate per (category, fold); a fold's value is the total minus its own share. Joining on
     (category, fold) also spreads a frequent category over the folds.
     """
     folded = df.withColumn("__fold", fold_of(key, folds, seed))
     target = value(df, label).cast("double")
     table = CategoryTable.build(
-        folded, [column], {"s": F.sum(target), "n": F.count(target)}, extra_keys=["__fold"]
+        folded, [column], {"s": F.sum(target), "n": F.count(target)}, extra_keys=["__fold"], null_as=null_as
     )
     kinds = {"__fold": "int", "s": "double", "n": "bigint"}
     grouped, rows, hot = CategoryTable.table(df.sparkSession, table, column, kinds)

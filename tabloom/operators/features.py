@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tabloom.functions.columns import safe_divide, safe_log, safe_sqrt
 from tabloom.operators.base import Fitted, Step, append_columns, present
-from tabloom.operators.categories import CategoryTable
+from tabloom.operators.categories import MISSING, CategoryTable
 from tabloom.operators.encode import _missing_mean, out_of_fold_target
 from tabloom.operators.stats import datetime_columns, quoted, value
 
@@ -270,7 +270,8 @@ class TargetEncodingFeatures(FeatureStep):
             raise ValueError("out-of-fold encoding needs a row key")
         for c in self.strings(df):
             df = out_of_fold_target(
-                df, c, self.opt("label"), self.opt("key"), f"{c}_target_enc", self.opt("folds"), self.opt("seed")
+                df, c, self.opt("label"), self.opt("key"), f"{c}_target_enc", self.opt("folds"), self.opt("seed"),
+                null_as=MISSING,
             )
         return df
 

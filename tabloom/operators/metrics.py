@@ -19,7 +19,7 @@ REGRESSION_METRICS = ["mse", "rmse", "mae", "r2", "rmsle", "mape", "mean_residua
 
 def regression_expressions(actual: str, predicted: str) -> dict[str, Column]:
     y, p = quoted(actual).cast("double"), quoted(predicted).cast("double")
-    both = y.isNotNull() & p.isNotNull()
+    both = y.isNotNull() & p.isNotNull() & ~F.isnan(y) & ~F.isnan(p)  # NaN is missing, as everywhere
     y, p = F.when(both, y), F.when(both, p)
     error, square = y - p, (y - p) * (y - p)
     logs = F.log1p(F.greatest(p, F.lit(0.0))) - F.log1p(F.greatest(y, F.lit(0.0)))

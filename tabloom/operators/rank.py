@@ -37,6 +37,18 @@ def average_rank(df: DataFrame, column: str, to: str, range_rows: int = RANGE_RO
     Ties are compressed first, so a value held by a third of the rows is one row while ranking and
     is salted when ranks return to the rows.
     """
+    ranks, hot = value_ranks(df, column, to, range_rows)
+    return with_ranks(df, column, ranks, hot)
+
+
+def with_ranks(df: DataFrame, column: str, ranks: DataFrame, hot: Sequence[float]) -> DataFrame:
+    """Ranks of values (``__value`` and one column) back on the rows."""
+    keyed = df.withColumn("__value", quoted(column).cast("double"))
+    return lookup_join(keyed, ranks, ["__value"], hot=hot).drop("__value")
+
+
+def value_ranks(df: DataFrame, column: str, to: str, range_rows: int = RANGE_ROWS) -> tuple[DataFrame, list[float]]:
+    """(__value, rank) of each distinct value, and the values that many rows share."""
     points, hot = cut_points(df, quoted(column), range_rows)
     number = quoted(column).cast("double")
     values = df.select(number.alias("__value")).dropna().groupBy("__value").agg(F.count("*").alias("__ties"))
@@ -47,8 +59,7 @@ def average_rank(df: DataFrame, column: str, to: str, range_rows: int = RANGE_RO
     ranks = local.join(F.broadcast(offsets), "__range").select(
         "__value", (F.col("__offset") + F.col("__before") + (F.col("__ties") + 1) / 2.0).alias(to)
     )
-    out = lookup_join(df.withColumn("__value", number), ranks, ["__value"], hot=hot)
-    return out.drop("__value")
+    return ranks, hot
 
 
 def _range_offsets(ranged: DataFrame, totals: dict[str, Column]) -> DataFrame:
@@ -175,6 +186,8 @@ def running_max(
 ) -> DataFrame:
     """Maximum of ``column`` up to the row (``exclusive``: before the row), over an integer order column.
 
+    A NULL group is a group; rows without order are a span of their own, before all others.
+
     Rows are cut into spans of the order column; a span's own running maximum is combined with the
     maximum of all earlier spans.
     """
@@ -184,7 +197,9 @@ def running_max(
     earlier = peaks.select(*keys, F.max("__peak").over(_earlier(group, "__span")).alias("__earlier"))
     end = -1 if exclusive else 0
     inside = Window.partitionBy(*keys).orderBy(quoted(order)).rowsBetween(Window.unboundedPreceding, end)
-    joined = spanned.withColumn("__here", F.max(quoted(column)).over(inside)).join(earlier, keys)
+    here = spanned.withColumn("__here", F.max(quoted(column)).over(inside))
+    matched = [F.col(f"l.`{k}`").eqNullSafe(F.col(f"o.`{k}`")) for k in keys]
+    joined = here.alias("l").join(earlier.alias("o"), matched, "inner")
     return joined.select(
-        *[quoted(c) for c in df.columns], F.greatest(F.col("__here"), F.col("__earlier")).alias(to)
+        *[F.col(f"l.`{c}`").alias(c) for c in df.columns], F.greatest(F.col("__here"), F.col("__earlier")).alias(to)
     )

@@ -214,12 +214,20 @@ def cut_points(df: DataFrame, c: Column, range_rows: int = RANGE_ROWS) -> tuple[
     return sorted(set(cuts)), hot
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int | None = None, share: int = 1_000) -> list:
-    """Keys with more than ``min_rows`` rows (default 1/share of the table, a million at least).
+HOT_ROWS = 1_000_000
 
-    At most rows/min_rows keys can qualify, so the collected list is bounded.
+
+def hot_keys(df: DataFrame, key: str, min_rows: int | None = None) -> list:
+    """Keys with more than ``min_rows`` rows, NULL included; at most rows/min_rows of them.
+
+    The limit is a number of rows that one task may hold, whatever the size of the table.
     """
-    if min_rows is None:
-        min_rows = max(1_000_000, df.count() // share)
     counted = df.groupBy(quoted(key).alias("k")).count()
-    return [r["k"] for r in counted.filter(F.col("count") > min_rows).select("k").collect()]
+    return [r["k"] for r in counted.filter(F.col("count") > (HOT_ROWS if min_rows is None else min_rows)).select("k").collect()]
+
+
+def one_of(column: str, values: Sequence) -> Column:
+    """Whether a column holds one of some values; NULL can be among them."""
+    known = quoted(column).isin([v for v in values if v is not None])
+    missing = quoted(column).isNull() if None in values else F.lit(False)
+    return F.coalesce(known, F.lit(False)) | missing

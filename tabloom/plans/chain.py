@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabloom.operators.base import Step
+from tabloom.operators.base import Fitted, Step
 from tabloom.operators.encode import CategoricalEncoder
 from tabloom.operators.impute import Imputer
 from tabloom.operators.outliers import OutlierClipper
@@ -126,13 +127,36 @@ class Chain:
     def save(self, path: str) -> None:
         if self.model is None:
             raise ValueError("fit the chain before saving")
-        self.model.write().overwrite().save(path)
+        _with_tables(self.model, lambda at, i, name, held: _copied_table(held, name, f"{path}_tables/{at}-{i}")).write().overwrite().save(path)
 
     def load(self, path: str) -> "Chain":
         self.model = PipelineModel.load(path)
         return self
 
 
+def _copied_table(held: dict, column: str, to: str) -> dict:
+    """A table of categories, copied beside the saved chain, which then needs no scratch folder."""
+    table = SparkSession.getActiveSession().read.parquet(held["path"])
+    if not held["coded"]:
+        table = table.filter(F.col("column") == column)
+    table.write.mode("overwrite").parquet(to)
+    return {**held, "path": to}
+
+
+def _with_tables(model: PipelineModel, change) -> PipelineModel:
+    """The chain with each stored category table replaced; steps without one are shared."""
+    stages = []
+    for at, stage in enumerate(model.stages):
+        state = stage.fitted if isinstance(stage, Fitted) and stage.isDefined(stage.state) else {}
+        table = state.get("table")
+        if isinstance(table, dict) and any("path" in c for c in table.get("columns", {}).values()):
+            columns = {n: change(at, i, n, c) if "path" in c else c for i, (n, c) in enumerate(table["columns"].items())}
+            stage = stage.copy()
+            stage._set(state={**state, "table": {**table, "columns": columns}})
+        stages.append(stage)
+    return PipelineModel(stages)
+
+
 class Preprocessor:
     """Split, chain and feature names in one object."""
 

@@ -144,6 +144,8 @@ class AutoFeatures:
         if on("target_encoding") and label:
             self.features.add_target_encoding()
         entity, order = on("entity"), on("order")
+        if (on("lag_features") or on("window_features")) and not entity:
+            raise ValueError("lag and window features need an entity and an order")
         if on("lag_features") and entity:
             self.features.add_lag_features(entity, order, on("window_columns"), on("lags") or [1])
         if on("window_features") and entity:

@@ -10,12 +10,13 @@ from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabloom.operators.base import Fitted, append_columns
 from tabloom.operators.stats import quoted, value
@@ -52,35 +53,49 @@ class ModelConfig:
         return None if found is None else cls.from_dict(found)
 
 
-# Starting settings per model. ``n_estimators`` is the number of boosting rounds; a
-# round is several distributed passes here, so the starting number is 20.
+# Starting settings per model. ``n_estimators`` is the number of boosting rounds, an upper
+# bound if there is a validation table and a patience.
 MODEL_DEFAULTS = {
     "xgboost": {
-        "n_estimators": 20, "max_depth": 6, "learning_rate": 0.1, "subsample": 0.8,
+        "n_estimators": 1000, "max_depth": 6, "learning_rate": 0.1, "subsample": 0.8,
         "colsample_bytree": 0.8, "early_stopping_rounds": 50,
     },
     "lightgbm": {
-        "n_estimators": 20, "max_depth": 6, "learning_rate": 0.1, "subsample": 0.8,
-        "colsample_bytree": 0.8, "max_bins": 255,
+        "n_estimators": 1000, "max_depth": 6, "learning_rate": 0.1, "subsample": 0.8,
+        "colsample_bytree": 0.8, "max_bins": 255, "early_stopping_rounds": 50,
     },
-    "catboost": {"n_estimators": 20, "max_depth": 6, "learning_rate": 0.1, "early_stopping_rounds": 50},
+    "catboost": {"n_estimators": 1000, "max_depth": 6, "learning_rate": 0.1, "early_stopping_rounds": 50},
     "linear": {"fit_intercept": True},
     "ridge": {"alpha": 1.0, "max_iter": 1000, "C": 1.0},
     "lasso": {"alpha": 1.0, "max_iter": 1000, "C": 1.0},
     "elasticnet": {"alpha": 1.0, "l1_ratio": 0.5, "max_iter": 1000, "C": 1.0},
     "logistic": {"C": 1.0, "penalty": "l2", "max_iter": 1000},
 }
+# Settings each kind of model understands beside its starting ones. Penalties on leaves, leaf counts, minimal child
+# weights and the like (reg_lambda, reg_alpha, gamma, num_leaves, min_child_weight, l2_leaf_reg) have no form in Spark
+# ML's trees and are refused rather than ignored.
+KNOWN = {
+    **dict.fromkeys(BOOSTERS, {"n_estimators", "max_depth", "learning_rate", "subsample", "colsample_bytree", "early_stopping_rounds", "max_bins"}),
+    **dict.fromkeys(("linear", "ridge", "lasso", "elasticnet", "logistic"), {"alpha", "l1_ratio", "max_iter", "C", "fit_intercept", "penalty"}),
+}
 ALIASES = {"iterations": "n_estimators", "num_boost_round": "n_estimators", "num_trees": "n_estimators", "depth": "max_depth"}
 
 
+def _settings(model_type: str, params: dict) -> dict:
+    """Aliases resolved; a setting that would be ignored is an error."""
+    named = {ALIASES.get(k, k): v for k, v in params.items()}
+    if model_type in KNOWN and (unknown := set(named) - KNOWN[model_type]):
+        raise ValueError(f"{model_type} has no such settings here: {sorted(unknown)}")
+    return named
+
+
 def model_config(model_type: str, target_type: str = "regression", name: str | None = None, **params) -> ModelConfig:
     """Starting settings with overrides; the boosters' alias names are understood."""
     if model_type not in MODEL_DEFAULTS:
         raise ValueError(f"unknown model: {model_type}")
     if model_type == "logistic":
         target_type = "classification"
-    known = {ALIASES.get(k, k): v for k, v in params.items()}
-    return ModelConfig(name or model_type, model_type, {**MODEL_DEFAULTS[model_type], **known}, target_type)
+    return ModelConfig(name or model_type, model_type, {**MODEL_DEFAULTS[model_type], **_settings(model_type, params)}, target_type)
 
 
 class ScaledInputs(Fitted):
@@ -93,6 +108,29 @@ class ScaledInputs(Fitted):
         })
 
 
+class OneAgainstRest(Fitted):
+    """``__probability`` and ``__prediction`` from a booster for each class."""
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        own = [vector_to_array(f"__probability_{c}")[1] for c in range(self.fitted["classes"])]
+        scored = df.withColumn("__own", F.array(*own))
+        total = F.aggregate("__own", F.lit(0.0), lambda a, x: a + x)
+        scored = scored.withColumn("__probability", F.transform("__own", lambda x: x / total))
+        best = F.array_position("__probability", F.array_max("__probability")) - 1
+        return scored.withColumn("__prediction", best.cast("double"))
+
+
+def stopping_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """(best round, whether the patience ran out): the first lowest loss before ``patience`` rounds without a lower one."""
+    best = 0
+    for at, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = at
+        elif at - best >= patience:
+            return best, True
+    return best, False
+
+
 class TabularModel:
     """One model over named feature columns.
 
@@ -117,7 +155,7 @@ class TabularModel:
         return dict(self.config.params)
 
     def set_params(self, **params) -> "TabularModel":
-        self.config.params.update({ALIASES.get(k, k): v for k, v in params.items()})
+        self.config.params.update(_settings(self.config.model_type, params))
         return self
 
     def copy(self, name: str | None = None) -> "TabularModel":
@@ -152,19 +190,46 @@ class TabularModel:
             "subsamplingRate": float(p.get("subsample", 1.0)), "maxBins": int(p.get("max_bins", 32)),
             "featureSubsetStrategy": str(float(p["colsample_bytree"])) if p.get("colsample_bytree", 1.0) < 1 else "all",
         }
-        if self.classifies and train.select(label).distinct().limit(3).count() > 2:
-            # boosting is binary in Spark ML; more classes use a forest of the same depth and sampling
-            forest = self._outputs(RandomForestClassifier(numTrees=int(p["n_estimators"]), **settings))
-            return PipelineModel([assembler, forest.fit(assembler.transform(train))])
-        settings |= {"maxIter": int(p["n_estimators"]), "stepSize": float(p["learning_rate"])}
+        settings["stepSize"] = float(p["learning_rate"])
+        prepared = assembler.transform(train)
+        held = None
         if validation is not None and p.get("early_stopping_rounds"):
-            held = validation.select(*[value(validation, c).cast("double").alias(c) for c in [*self.features, label]])
-            train = train.withColumn("__held", F.lit(False)).unionByName(
-                held.dropna(subset=[label]).withColumn("__held", F.lit(True))
-            )
-            settings |= {"validationIndicatorCol": "__held", "validationTol": float(p.get("validation_tol", 0.01))}
-        booster = self._outputs(GBTClassifier(**settings) if self.classifies else GBTRegressor(**settings))
-        return PipelineModel([assembler, booster.fit(assembler.transform(train))])
+            used = [*self.features, label]
+            held = validation.select(*[value(validation, c).cast("double").alias(c) for c in used]).dropna(subset=[label])
+            held = assembler.transform(held)
+        classes = 2
+        if self.classifies:
+            top = train.agg(F.max(label)).first()[0]
+            classes = int(top or 0) + 1
+        if classes <= 2:
+            return PipelineModel([assembler, self._boost(prepared, held, label, settings)])
+        # one booster for each class against the rest; their probabilities are divided by their sum
+        stages = [assembler]
+        for c in range(classes):
+            own = F.when(F.col(f"`{label}`") == c, 1.0).otherwise(0.0)
+            parts = [None if t is None else t.withColumn("__own", own) for t in (prepared, held)]
+            booster = self._boost(*parts, "__own", {**settings, "labelCol": "__own"})
+            booster.setPredictionCol(f"__prediction_{c}").setRawPredictionCol(f"__raw_{c}").setProbabilityCol(f"__probability_{c}")
+            stages.append(booster)
+        return PipelineModel([*stages, OneAgainstRest(classes=classes)])
+
+    def _boost(self, train: DataFrame, held: DataFrame | None, label: str, settings: dict):
+        """A booster with all rounds or, given held rows, cut after the best round once ``patience`` rounds did not improve it.
+
+        A run with fewer rounds is the beginning of a longer one, so rounds are added until the patience has run out.
+        """
+        rounds, patience = int(self.config.params["n_estimators"]), self.config.params.get("early_stopping_rounds")
+        estimator = self._outputs(GBTClassifier(**settings) if self.classifies else GBTRegressor(**settings))
+        if held is None:
+            return estimator.setMaxIter(rounds).fit(train)
+        tried = min(rounds, 2 * int(patience))
+        while True:
+            model = estimator.setMaxIter(tried).fit(train)
+            losses = model.evaluateEachIteration(held) if self.classifies else model.evaluateEachIteration(held, "squared")
+            best, stopped = stopping_round(losses, int(patience))
+            if stopped or tried == rounds:
+                return model if best + 1 == tried else estimator.setMaxIter(best + 1).fit(train)
+            tried = min(rounds, 2 * tried)
 
     def _fit_linear(self, train: DataFrame, label: str) -> PipelineModel:
         stats = [F.count(F.lit(1)), F.stddev_pop(label)]
@@ -214,7 +279,9 @@ class TabularModel:
         out = [quoted(c) for c in df.columns]
         out.append(F.col("__prediction").alias(prediction or self.name))
         if self.classifies:
-            out.append(vector_to_array("__probability").alias(probability or f"{self.name}_probability"))
+            vector = not isinstance(scored.schema["__probability"].dataType, T.ArrayType)
+            array = vector_to_array("__probability") if vector else F.col("__probability")
+            out.append(array.alias(probability or f"{self.name}_probability"))
         return scored.select(*out)
 
     def predict(self, df: DataFrame, to: str | None = None) -> DataFrame:
@@ -238,7 +305,10 @@ class TabularModel:
         if self.model is None:
             raise ValueError("fit the model first")
         last = self.model.stages[-1]
-        if self.config.model_type in BOOSTERS:
+        if isinstance(last, OneAgainstRest):
+            found = [s.featureImportances.toArray() for s in self.model.stages if hasattr(s, "featureImportances")]
+            weights = sum(found) / len(found)
+        elif self.config.model_type in BOOSTERS:
             weights = last.featureImportances.toArray()
         elif self.classifies:
             weights = abs(last.coefficientMatrix.toArray()[0])
@@ -310,11 +380,10 @@ def ensemble_models(target_type: str = "regression", **params) -> list[TabularMo
     ]
 
 
-# The tuned set, a conservative and a balanced form of each booster. Rounds keep the
-# 1500 : 1000 ratio of the settings they follow at 1/50 of the length.
+# The tuned set, a conservative and a balanced form of each booster.
 TUNED = {
-    "conservative": {"learning_rate": 0.05, "max_depth": 4, "n_estimators": 30, "subsample": 0.8, "colsample_bytree": 0.8},
-    "balanced": {"learning_rate": 0.1, "max_depth": 6, "n_estimators": 20, "subsample": 0.9, "colsample_bytree": 0.9},
+    "conservative": {"learning_rate": 0.05, "max_depth": 4, "n_estimators": 1500, "subsample": 0.8, "colsample_bytree": 0.8},
+    "balanced": {"learning_rate": 0.1, "max_depth": 6, "n_estimators": 1000, "subsample": 0.9, "colsample_bytree": 0.9},
 }
 
 

@@ -7,6 +7,7 @@ import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass
 
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -150,6 +151,7 @@ class Search:
             raise ValueError(f"unknown search method: {method}")
         self.config, self.method = config, method
         self.history: list[dict] = []
+        self.failures: list[dict] = []
 
     def run(
         self, model: TabularModel, df: DataFrame, features: Sequence[str], label: str,
@@ -184,17 +186,18 @@ class Search:
             batch = [r.asDict() for r in candidates[at:at + c.threads]]
             jobs = [lambda p=p: self._trial(model, p, data, held, features, label) for p in batch]
             for params, result in zip(batch, in_threads(jobs, c.threads)):
-                if result is None:
-                    continue
                 trial = params.pop("trial")
+                if isinstance(result, str):
+                    self.failures.append({"trial": trial, "params": params, "error": result})
+                    continue
                 self.history.append({"trial": trial, "params": params, "score": result, "ts": time.time()})
                 stale = 0 if result > best else stale + 1
                 best = max(best, result)
                 if c.early_stopping_rounds and stale >= c.early_stopping_rounds:
                     return
 
-    def _trial(self, model, params, data, held, features, label) -> float | None:
-        """The score, or None for a candidate that cannot be fitted."""
+    def _trial(self, model, params, data, held, features, label) -> float | str:
+        """The score, or what is wrong with a candidate that cannot be fitted. Failures of the cluster are raised."""
         settings = {k: v for k, v in params.items() if k != "trial"}
         c = self.config
         try:
@@ -206,8 +209,8 @@ class Search:
                 fitted = model.copy().set_params(**settings).fit(data.filter(F.col("__fold") != k), features, label)
                 folds.append(score(fitted, data.filter(F.col("__fold") == k), label, c.scoring))
             return sum(folds) / len(folds)
-        except Exception:
-            return None
+        except (ValueError, TypeError, IllegalArgumentException) as e:
+            return f"{type(e).__name__}: {e}"
 
 
 class SearchResult:
@@ -223,6 +226,11 @@ class SearchResult:
     def apply_best_params(self) -> TabularModel:
         return self.model.set_params(**self.best["params"])
 
+    def failed(self) -> DataFrame:
+        """(trial, params, error) of the candidates that could not be fitted."""
+        rows = [(t["trial"], {k: str(v) for k, v in t["params"].items()}, t["error"]) for t in self.search.failures]
+        return self.spark.createDataFrame(rows, "trial bigint, params map<string,string>, error string")
+
     def trials(self) -> DataFrame:
         """(trial, params, score, ts); at most ``n_trials`` rows."""
         return trial_table(self.spark, self.search.history)
@@ -312,7 +320,6 @@ QUICK_SPACES = {
         "learning_rate": _RATE,
     },
 }
-ROUND_SHARE = 1 / 50  # boosting rounds of a preset space, as in the model defaults
 
 
 def preset_search(
@@ -323,7 +330,6 @@ def preset_search(
         raise ValueError(f"no preset search for {model_type}")
     spaces = {"grid": GRID_SPACES, "random": RANDOM_SPACES, "quick": QUICK_SPACES}[kind]
     space = dict(spaces["catboost" if model_type == "catboost" else "sampled"])
-    space["n_estimators"] = _fewer_rounds(space["n_estimators"])
     return SearchConfig(
         search_space=space,
         n_trials=n_trials or (100 if kind == "quick" else 200),
@@ -332,12 +338,6 @@ def preset_search(
     )
 
 
-def _fewer_rounds(rule):
-    if isinstance(rule, list):
-        return [max(1, round(v * ROUND_SHARE)) for v in rule]
-    return {**rule, "low": max(1, round(rule["low"] * ROUND_SHARE)), "high": round(rule["high"] * ROUND_SHARE)}
-
-
 def auto_search(space: Mapping, n_trials: int = 100, **settings) -> Search:
     return Search(SearchConfig(dict(space), n_trials=n_trials, **settings), choose_method(space, n_trials))
 

@@ -190,6 +190,24 @@ def rolling_time(spark, folder):
     return _rounded(rolling_range(rows, "user_id", "ts", ["value"], 86_400).drop("ts", "value"))
 
 
+_ODD = """CASE WHEN event_id % 97 = 0 THEN 1e17::DOUBLE WHEN event_id % 31 = 0 THEN NULL ELSE value END"""
+
+
+@query("feat_rolling_range_nan", f"""
+    WITH odd AS (SELECT event_id, CASE WHEN user_id % 10 > 0 THEN user_id END AS user_id, ts, {_ODD} AS value FROM events)
+    SELECT event_id, user_id, round(sum(value) OVER w / 1e6, 2) AS value_86400s_sum, count(value) OVER w AS value_86400s_count
+    FROM odd
+    WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)""")
+def rolling_time_nan(spark, folder):
+    """NaN counts as missing, a huge value stays in its own frames, and rows without entity are a hot entity."""
+    event, nan = F.col("event_id"), F.lit(float("nan"))
+    odd = F.when(event % 97 == 0, F.lit(1e17)).when(event % 31 == 0, nan).otherwise(F.col("value"))
+    user = F.when(F.col("user_id") % 10 > 0, F.col("user_id"))
+    rows = table(spark, folder, "events").select(event, user.alias("user_id"), "ts", odd.alias("value"))
+    out = rolling_range(rows, "user_id", "ts", ["value"], 86_400, ["sum", "count"], hot_rows=200)
+    return out.select("event_id", "user_id", F.round(F.col("value_86400s_sum") / 1e6, 2).alias("value_86400s_sum"), "value_86400s_count")
+
+
 @query("feat_rolling_range_hot", f"""
     SELECT event_id, event_type, {sql_rnd('sum(value) OVER w')} AS value_86400s_sum, count(value) OVER w AS value_86400s_count,
            {sql_rnd('avg(value) OVER w')} AS value_86400s_mean, max(value) OVER w + 0.0 AS value_86400s_max
@@ -199,7 +217,7 @@ def rolling_time_hot(spark, folder):
     """Five entities hold all rows: running sums continue over chunks of time."""
     rows = table(spark, folder, "events").select("event_id", "event_type", "ts", "value")
     out = rolling_range(
-        rows, "event_type", "ts", ["value"], 86_400, ["sum", "count", "mean", "max"], hot_rows=500, chunk_rows=1_000
+        rows, "event_type", "ts", ["value"], 86_400, ["sum", "count", "mean", "max"], hot_rows=500
     )
     return _rounded(out.drop("ts", "value"), "value_86400s_max")
 

@@ -10,6 +10,7 @@ from tabloom.operators.outliers import OutlierClipper
 from tabloom.operators.scale import Scaler
 from tabloom.operators.select import FeatureSelector
 from tabloom.operators.split import train_validation
+from tabloom.operators.stats import numeric_columns
 from tabloom.queries.common import GAPPY, VALIDATION, gappy_orders, query, rnd, sql_hash, sql_rnd, sql_unseen, table, unseen
 
 KEY = "o_orderkey"
@@ -145,28 +146,52 @@ def labels(spark, folder):
     return _encode(lambda: CategoricalEncoder(key=KEY))(spark, folder).select(KEY, "g", "s")
 
 
-_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", "missing"]
+_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", "nan"]
 
 
 @query("encode_onehot", f"""
     WITH {_TRAIN}
     SELECT o_orderkey, {", ".join(
-        f"CAST(coalesce(g, 'missing') = '{p}' AS DOUBLE) AS {'g_' + p[2:].split()[0].lower() if p[0] != 'm' else 'g_missing'}"
-        for p in _PRIORITIES)}
+        f"CAST(g IS NOT DISTINCT FROM {'NULL' if p == 'nan' else repr(p)} AS DOUBLE) AS \"g_{p}\"" for p in _PRIORITIES)}
     FROM applied""")
 def one_hot(spark, folder):
     rows = gappy_orders(spark, folder).select(KEY, "g")
     train, _ = train_validation(rows, KEY)
-    out = CategoricalEncoder(key=KEY, method="onehot").fit(train).transform(unseen(rows))
-    made = [c for c in out.columns if c != KEY]  # the columns the encoder made, in sorted order
-    short = {c: c.lower().replace("g_", "").split("-")[-1].split()[0] for c in made}
-    return out.select(KEY, *[F.col(f"`{c}`").alias(f"g_{short[c]}") for c in made])
+    return CategoricalEncoder(key=KEY, method="onehot").fit(train).transform(unseen(rows))
+
+
+@query("encode_onehot_wide", """
+    SELECT c_custkey, k.n AS category, CAST(c_custkey % 250 = k.n AS DOUBLE) AS flag
+    FROM customer, (SELECT unnest(generate_series(0, 249)) AS n) k WHERE c_custkey % 250 = k.n OR k.n % 50 = 0""")
+def one_hot_wide(spark, folder):
+    """250 categories give 250 columns; the set ones and every 50th are shown."""
+    rows = table(spark, folder, "customer").select("c_custkey", (F.col("c_custkey") % 250).cast("string").alias("g"))
+    out = CategoricalEncoder(key="c_custkey", method="onehot").fit(rows).transform(rows)
+    made = [c for c in out.columns if c != "c_custkey"]
+    long = out.unpivot(["c_custkey"], made, "name", "flag").withColumn("category", F.substring("name", 3, 9).cast("bigint"))
+    return long.filter("flag = 1 OR category % 50 = 0").select("c_custkey", "category", "flag")
+
+
+@query("encode_missing_text", """
+    WITH src AS (SELECT p_partkey, p_retailprice AS y,
+                        CASE WHEN p_partkey % 5 = 0 THEN NULL WHEN p_partkey % 5 = 1 THEN 'missing' ELSE p_brand END AS g FROM part)
+    SELECT p_partkey, CAST(g IS NULL AS DOUBLE) AS g_nan, CAST(g IS NOT DISTINCT FROM 'missing' AS DOUBLE) AS g_missing,
+           """ + sql_rnd("CASE WHEN g IS NULL THEN avg(y) FILTER (WHERE g = 'missing') OVER () ELSE avg(y) OVER (PARTITION BY g) END") + """ AS mean
+    FROM src""")
+def missing_text(spark, folder):
+    """NULL next to the text 'missing': apart as flags; the mean of the text's rows as a target mean."""
+    key = F.col("p_partkey")
+    g = F.when(key % 5 == 0, None).when(key % 5 == 1, "missing").otherwise(F.col("p_brand"))
+    rows = table(spark, folder, "part").select(key, F.col("p_retailprice").alias("y"), g.alias("g"))
+    flags = CategoricalEncoder(key="p_partkey", label="y", method="onehot").fit(rows).transform(rows)
+    means = CategoricalEncoder(key="p_partkey", label="y", method="target").fit(rows).transform(rows)
+    return flags.select("p_partkey", "g_nan", "g_missing").join(means.select("p_partkey", rnd("g").alias("mean")), "p_partkey")
 
 
 @query("encode_target", f"""
-    WITH {_TRAIN}, means AS (SELECT coalesce(g, 'missing') AS v, avg(x) AS m FROM train GROUP BY 1)
+    WITH {_TRAIN}, means AS (SELECT g AS v, avg(x) AS m FROM train WHERE g IS NOT NULL GROUP BY 1)
     SELECT o_orderkey, {sql_rnd("coalesce(m, (SELECT m FROM means WHERE v = 'missing'), 0)")} AS g
-    FROM applied LEFT JOIN means ON v = coalesce(g, 'missing')""")
+    FROM applied LEFT JOIN means ON v = g""")
 def target_means(spark, folder):
     rows = gappy_orders(spark, folder).select(KEY, "x", "g")
     train, _ = train_validation(rows, KEY)
@@ -179,7 +204,7 @@ def target_means(spark, folder):
                     FROM (WITH {GAPPY} SELECT * FROM gappy)),
     per AS (SELECT g, fold, sum(x) AS s, count(x) AS n FROM folded GROUP BY g, fold),
     tot AS (SELECT g, sum(s) AS s, sum(n) AS n FROM per GROUP BY g)
-    SELECT o_orderkey, {sql_rnd('(tot.s - per.s) / (tot.n - per.n)', 3)} AS g_mean
+    SELECT o_orderkey, CASE WHEN g = 'missing' THEN 0.0::DOUBLE ELSE {sql_rnd('(tot.s - per.s) / (tot.n - per.n)', 3)} END AS g_mean
     FROM folded JOIN per USING (g, fold) JOIN tot USING (g)""")
 def target_means_oof(spark, folder):
     rows = gappy_orders(spark, folder)
@@ -198,9 +223,7 @@ def _part_numbers(spark, folder):
     SELECT p_partkey, p_size, p_retailprice, p_size * p_size + p_retailprice AS target, p_brand, p_type FROM part""")
 def select_variance(spark, folder):
     rows = _part_numbers(spark, folder)
-    return FeatureSelector(key="p_partkey", label=None).fit(rows).transform(rows).select(
-        "p_partkey", "p_size", "p_retailprice", "target", "p_brand", "p_type"
-    )
+    return FeatureSelector(key="p_partkey", label=None).fit(rows).transform(rows)
 
 
 def _sql_correlations() -> str:
@@ -232,7 +255,7 @@ def select_correlation(spark, folder):
 def select_correlation_topk(spark, folder):
     rows = _part_numbers(spark, folder).drop("tiny")
     step = FeatureSelector(key="p_partkey", label="target", method="correlation", n_features=1)
-    chosen = step.fit(rows).selected_features[:1]
+    chosen = [c for c in step.fit(rows).selected_features if c in numeric_columns(rows)]
     scored = dict(step.scores(rows))
     return spark.createDataFrame([(c, scored[c]) for c in chosen], "feature string, r double").select(
         "feature", rnd("r", 6).alias("r")

@@ -49,6 +49,15 @@ def regression(spark, folder):
     return _rounded(M.regression_metrics(predictions(spark, folder), "y", "m1"))
 
 
+@query("metrics_nan", f"""
+    WITH {PREDICTIONS} SELECT {_ALL} FROM (SELECT y, m1 AS p FROM pred WHERE o_orderkey % 13 <> 0 AND o_orderkey % 11 <> 0)""")
+def regression_nan(spark, folder):
+    """NaN on either side is missing."""
+    key, nan = F.col("o_orderkey"), F.lit(float("nan"))
+    rows = predictions(spark, folder).withColumn("m1", F.when(key % 13 == 0, nan).otherwise(F.col("m1")))
+    return _rounded(M.regression_metrics(rows.withColumn("y", F.when(key % 11 == 0, nan).otherwise(F.col("y"))), "y", "m1"))
+
+
 @query("metrics_by_group", f"WITH {PREDICTIONS} SELECT grp, {_ALL} FROM {_sql_from('m1')} GROUP BY grp")
 def regression_by_group(spark, folder):
     return _rounded(M.regression_metrics(predictions(spark, folder), "y", "m1", by=["grp"]))

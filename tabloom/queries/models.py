@@ -112,74 +112,129 @@ def logistic(spark, folder):
     return model.score_column(rows, "p").select(KEY, rnd("p").alias("p"))
 
 
-@query("predict_proba")
+@query("predict_proba", f"""
+    SELECT o_orderkey, CAST(avg(y) OVER (PARTITION BY x) > 0.5 AS DOUBLE) AS p,
+           {sql_rnd('1 - avg(y) OVER (PARTITION BY x)')} AS p0, {sql_rnd('avg(y) OVER (PARTITION BY x)')} AS p1
+    FROM (SELECT o_orderkey, o_orderkey % 2 AS x, CAST(o_orderkey % 3 % 2 AS INT) AS y FROM orders)""")
 def probabilities(spark, folder):
     rows = binary_rows(spark, folder)
-    model = model_by_name("ridge", "classification").fit(rows, ["x", "c", "price"], "y")
+    model = model_by_name("ridge", "classification", C=1e12).fit(rows, ["x"], "y")
     scored = model.transform(rows, "p", "proba")
     return scored.select(KEY, "p", rnd(F.col("proba")[0]).alias("p0"), rnd(F.col("proba")[1]).alias("p1"))
 
 
+# Boosted trees on 0/1 features, without sampling: the first tree predicts the mean of each combination, and the
+# others, fitted to what it leaves, add nothing. Numbers of rounds are the queries' own.
+WHOLE = {"subsample": 1.0, "colsample_bytree": 1.0}
 SMALL = {"n_estimators": 5, "max_depth": 3}
 
 
-def _boosted(kind: str, target: str = "regression"):
+def flag_rows(spark, folder):
+    key = F.col(KEY)
+    return table(spark, folder, "orders").select(
+        key, (key % 2).cast("double").alias("a"), (key % 3 % 2).cast("double").alias("b"), F.lit(1.0).alias("flat"),
+        (F.col("o_totalprice") / 1000 + key % 2 * 40 + key % 3 % 2 * 7).alias("y"),
+        (F.col("o_custkey") % (key % 2 + 2) > 0).cast("int").alias("flag"), is_validation(KEY).alias("held"),
+    )
+
+
+FLAGS = f"""flags AS (
+    SELECT o_orderkey, o_orderkey % 2 AS a, o_orderkey % 3 % 2 AS b,
+           o_totalprice / 1000 + o_orderkey % 2 * 40 + o_orderkey % 3 % 2 * 7 AS y,
+           CAST(o_custkey % (o_orderkey % 2 + 2) > 0 AS INT) AS flag, {VALIDATION} AS held
+    FROM orders),
+    means AS (SELECT a, b, avg(y) AS m, 2 * avg(flag) - 1 AS f FROM flags WHERE NOT held GROUP BY a, b)"""
+
+
+def _boosted(kind: str):
     def run(spark, folder):
-        if target == "classification":
-            rows, features = binary_rows(spark, folder), ["x", "c", "price"]
-            model = ModelSet([model_by_name(kind, target, **SMALL)]).fit(rows, features, "y").models[0]
-            return model.score_column(rows, "p").select(KEY, rnd("p").alias("p"))
-        rows = regression_rows(spark, folder)
-        model = ModelSet([model_by_name(kind, **SMALL)]).fit(rows.filter("not held"), ["c", "h"], "y").models[0]
-        return model.predict(rows, "p").select(KEY, rnd("p").alias("p"))
+        rows = flag_rows(spark, folder)
+        model = ModelSet([model_by_name(kind, n_estimators=4, max_depth=3, **WHOLE)]).fit(rows.filter("not held"), ["a", "b"], "y").models[0]
+        return model.predict(rows, "p").select(KEY, rnd("p", 3).alias("p"))
 
     return run
 
 
-query("model_gbt_xgb")(_boosted("xgboost"))
-query("model_gbt_lgb")(_boosted("lightgbm"))
-query("model_gbt_cat")(_boosted("catboost"))
-query("model_gbt_classify")(_boosted("xgboost", "classification"))
+_GROUP_MEANS = f"WITH {FLAGS} SELECT o_orderkey, {sql_rnd('m', 3)} AS p FROM flags JOIN means USING (a, b)"
+query("model_gbt_xgb", _GROUP_MEANS)(_boosted("xgboost"))
+query("model_gbt_lgb", _GROUP_MEANS)(_boosted("lightgbm"))
+query("model_gbt_cat", _GROUP_MEANS)(_boosted("catboost"))
+
+
+@query("model_gbt_classify", f"""
+    WITH {FLAGS} SELECT o_orderkey, {sql_rnd('1 / (1 + exp(-2 * f))')} AS p FROM flags JOIN means USING (a, b)""")
+def boosted_classes(spark, folder):
+    rows = flag_rows(spark, folder)
+    model = model_by_name("xgboost", "classification", n_estimators=1, max_depth=2, **WHOLE).fit(rows.filter("not held"), ["a", "b"], "flag")
+    return model.score_column(rows, "p").select(KEY, rnd("p").alias("p"))
+
+
+@query("model_gbt_multiclass", f"""
+    WITH three AS (SELECT o_orderkey, o_orderkey % 2 AS a, o_custkey % (o_orderkey % 2 + 2) AS k FROM orders),
+    own AS (SELECT *, {", ".join(f"1 / (1 + exp(-2 * (2 * avg(CAST(k = {c} AS DOUBLE)) OVER (PARTITION BY a) - 1))) AS p{c}" for c in range(3))} FROM three)
+    SELECT o_orderkey, {", ".join(f"{sql_rnd(f'p{c} / (p0 + p1 + p2)')} AS p{c}" for c in range(3))} FROM own""")
+def boosted_many_classes(spark, folder):
+    """Three classes: a booster each against the rest, one round."""
+    key = F.col(KEY)
+    rows = table(spark, folder, "orders").select(
+        key, (key % 2).cast("double").alias("a"), (F.col("o_custkey") % (key % 2 + 2)).cast("int").alias("k"),
+    )
+    model = model_by_name("catboost", "classification", n_estimators=1, max_depth=2).fit(rows, ["a"], "k")
+    scored = model.transform(rows, "p", "proba")
+    return scored.select(KEY, *[rnd(F.col("proba")[c]).alias(f"p{c}") for c in range(3)])
 
 
-@query("gbt_early_stop")
+@query("gbt_early_stop", f"""
+    WITH {FLAGS} SELECT o_orderkey, 2.0::DOUBLE + 4 * a AS p, 1 AS n_trees FROM flags""")
 def early_stop(spark, folder):
-    rows = regression_rows(spark, folder)
-    model = model_by_name("xgboost", n_estimators=15, max_depth=3, validation_tol=0.05)
-    model.fit(rows.filter("not held"), ["c", "h"], "y", rows.filter("held"))
+    """The first tree is exact on the training rows, so no later round lowers the loss of the held ones."""
+    rows = flag_rows(spark, folder)
+    exact = F.col("a") * 4 + 2
+    train = rows.filter("not held").withColumn("y", exact)
+    held = rows.filter("held").withColumn("y", exact + F.col("b"))
+    model = model_by_name("xgboost", n_estimators=40, max_depth=3, early_stopping_rounds=3, **WHOLE).fit(train, ["a", "b"], "y", held)
     trees = model.model.stages[-1].getNumTrees
     return model.predict(rows, "p").select(KEY, rnd("p").alias("p"), F.lit(trees).alias("n_trees"))
 
 
-@query("feature_importance_trees")
+@query("feature_importance_trees", """
+    SELECT model, feature, CAST(feature = 'a' AS DOUBLE) AS importance
+    FROM (VALUES ('xgboost'), ('catboost')) m(model), (VALUES ('a'), ('flat')) f(feature), (SELECT count(*) FROM orders)""")
 def tree_importance(spark, folder):
-    rows = regression_rows(spark, folder)
-    models = ModelSet([model_by_name(k, **SMALL) for k in ("xgboost", "catboost")])
-    models.fit(rows.filter("not held"), ["c", "h"], "y")
+    """A flag that says something and a column that is flat."""
+    rows = flag_rows(spark, folder)
+    models = ModelSet([model_by_name(k, n_estimators=1, max_depth=3, **WHOLE) for k in ("xgboost", "catboost")])
+    models.fit(rows.filter("not held"), ["a", "flat"], "y")
     return models.get_feature_importances(spark).select("model", "feature", rnd("importance").alias("importance"))
 
 
-def _set(make):
+_RIDGE = """line AS (SELECT count(*) AS n, avg(a) AS ma, stddev_pop(a) AS sa, avg(y) AS my, covar_pop(a, y) / stddev_pop(a) AS g
+                     FROM flags WHERE NOT held),
+    one AS (SELECT a, avg(y) AS m FROM flags WHERE NOT held GROUP BY a)"""
+
+
+def _set(name: str, make, models: list[str], rounds: int):
     def run(spark, folder):
-        rows = regression_rows(spark, folder)
-        models = ModelSet(make(n_estimators=2)).fit(rows.filter("not held"), ["c", "h"], "y")
-        return models.predict(rows).select(KEY, *[rnd(m.name).alias(m.name) for m in models.models])
+        rows = flag_rows(spark, folder)
+        fitted = ModelSet(make(n_estimators=rounds, **WHOLE)).fit(rows.filter("not held"), ["a"], "y")
+        return fitted.predict(rows).select(KEY, *[rnd(m.name, 3).alias(m.name) for m in fitted.models])
 
-    return run
+    means = [f"{sql_rnd('my + n * g / (n + 1.0) * (a - ma) / sa' if m == 'ridge' else 'm', 3)} AS {m}" for m in models]
+    query(name, f"WITH {FLAGS}, {_RIDGE} SELECT o_orderkey, {', '.join(means)} FROM flags JOIN one USING (a), line")(run)
 
 
-query("model_defaults")(_set(default_models))
-query("model_tuned_set")(_set(tuned_models))
-query("model_ensemble_set")(_set(ensemble_models))
+_set("model_defaults", default_models, ["xgboost", "lightgbm", "catboost", "ridge"], 2)
+_set("model_tuned_set", tuned_models, [f"{b}_{s}" for b in ("xgb", "lgb", "cb") for s in ("conservative", "balanced")], 2)
+_set("model_ensemble_set", ensemble_models, [f"{b}_{i}" for b in ("xgboost", "lightgbm", "catboost") for i in (1, 2, 3)], 2)
 
 
 @query("model_multiclass")
 def multiclass(spark, folder):
     """Ten classes over the elements of the embedding."""
     vectors = table(spark, folder, "embeddings")
-    inputs = [f"e{i}" for i in range(8)]
+    inputs = [f"e{i}" for i in range(64)]
     rows = vectors.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(inputs)])
-    model = model_by_name("logistic", max_iter=30).fit(rows, inputs, "label")
+    model = model_by_name("logistic").fit(rows, inputs, "label")
     return model.transform(rows, "p", "proba").select("vec_id", "label", "p", rnd(F.array_max("proba")).alias("top"))
 
 

@@ -34,6 +34,18 @@ def running(spark, folder):
     return T.running_best(rows, ["study"], span=500)
 
 
+_NULL_STUDY = "CASE WHEN study LIKE '%1' THEN NULL ELSE study END"
+
+
+@query("trials_running_best_null", f"""
+    WITH {_TRIALS}, gappy AS (SELECT {_NULL_STUDY} AS study, trial, score FROM trials)
+    SELECT study, trial, score, max(score) OVER (PARTITION BY study ORDER BY trial) AS best_score FROM gappy""")
+def running_null(spark, folder):
+    """Trials without a study are a study."""
+    study = F.when(~F.col("study").endswith("1"), F.col("study"))
+    return T.running_best(_trials(spark, folder).select(study.alias("study"), "trial", "score"), ["study"], span=500)
+
+
 @query("trials_since_improvement", f"WITH {_BEST} SELECT study, trial, best_score, no_improvement FROM stale")
 def stale(spark, folder):
     rows = _trials(spark, folder).select("study", "trial", "score")

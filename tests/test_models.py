@@ -20,6 +20,7 @@ from tabloom.plans.models import (
     ensemble_models,
     model_by_name,
     register_config,
+    stopping_round,
     tuned_models,
 )
 from tabloom.plans.search import (
@@ -288,6 +289,8 @@ def test_failed_trials_are_skipped(nonlinear):
     config = SearchConfig({"max_depth": [2, 99]}, n_trials=5)
     result = Search(config, "grid").run(model_by_name("catboost", **QUICK), nonlinear, FEATURES, "y", nonlinear)
     assert [t["params"]["max_depth"] for t in result.search.history] == [2]
+    failed = result.failed().collect()
+    assert [(r.params["max_depth"], bool(r.error)) for r in failed] == [("99", True)]
 
 
 def test_patience(nonlinear):
@@ -306,7 +309,7 @@ def test_methods(spark):
     with pytest.raises(ValueError):
         Search(SearchConfig({}), "nonsense")
     assert preset_search("xgboost", "classification", "random").scoring == "f1_weighted"
-    assert preset_search("catboost", kind="grid").search_space["n_estimators"] == [2, 10, 20]
+    assert preset_search("catboost", kind="grid").search_space["n_estimators"] == [100, 500, 1000]
     with pytest.raises(ValueError):
         preset_search("ridge")
 
@@ -378,3 +381,29 @@ def test_workflow(spark, regression, tmp_path):
     paths = flow.write(rows.drop("target"), str(tmp_path))
     for path in paths.values():
         assert validate_result(spark, path, 100)
+
+
+def test_patience_stops_after_the_best_round(nonlinear):
+    assert stopping_round([5, 4, 4, 3, 6, 6, 6, 2], 3) == (3, True)
+    assert stopping_round([5, 4, 3], 3) == (2, False)
+    held = nonlinear.filter("id % 3 = 0")
+    model = model_by_name("lightgbm", n_estimators=200, max_depth=5, learning_rate=0.9, early_stopping_rounds=2, subsample=1.0, colsample_bytree=1.0)
+    model.fit(nonlinear.filter("id % 3 > 0"), FEATURES, "y", held)
+    trees = model.model.stages[-1]
+    assert 1 <= trees.getNumTrees < 200
+    assembled = model.model.stages[0].transform(held.select(*FEATURES, "y"))
+    losses = trees.evaluateEachIteration(assembled, "squared")
+    assert min(range(len(losses)), key=losses.__getitem__) == len(losses) - 1
+
+
+def test_settings_without_effect_are_refused():
+    for kind, setting in (("xgboost", "reg_lambda"), ("lightgbm", "num_leaves"), ("ridge", "max_depth")):
+        with pytest.raises(ValueError, match=setting):
+            model_by_name(kind, **{setting: 5})
+    with pytest.raises(ValueError, match="gamma"):
+        model_by_name("xgboost").set_params(gamma=1)
+
+
+def test_starting_rounds():
+    assert [model_by_name(b).get_params()["n_estimators"] for b in ("xgboost", "lightgbm", "catboost")] == [1000] * 3
+    assert {m.get_params()["n_estimators"] for m in tuned_models()} == {1000, 1500}

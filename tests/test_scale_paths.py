@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tabloom.operators.blend import rank_average
 from tabloom.operators.categories import CategoryTable
 from tabloom.operators.encode import CategoricalEncoder, out_of_fold_target
 from tabloom.operators.features import CategoryFeatures, GroupAggregateFeatures, TargetEncodingFeatures
@@ -18,6 +19,7 @@ from tabloom.operators.rank import auc, average_rank, number_rows, number_values
 from tabloom.operators.split import fold_of, is_validation, stratified_flag, stratified_folds
 from tabloom.operators.stats import exact_quantiles, hot_keys
 from tabloom.operators.windows import lag_features, rolling_range, rolling_rows
+from tabloom.plans.chain import Chain
 
 SETTINGS = dict(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -222,7 +224,7 @@ def test_rolling_rows_of_a_hot_entity(timeline):
 def test_rolling_range(timeline):
     wanted = ["sum", "count", "mean", "max", "min", "std"]
     plain = rolling_range(timeline, "entity", "ts", ["value"], 120, wanted)
-    hot = rolling_range(timeline, "entity", "ts", ["value"], 120, wanted, hot_rows=20, chunk_rows=9)
+    hot = rolling_range(timeline, "entity", "ts", ["value"], 120, wanted, hot_rows=20)
     _same(plain, hot)
     frame = timeline.toPandas()
     row = frame[(frame["entity"] == 0)].iloc[200]
@@ -255,3 +257,41 @@ def test_category_table_counts_missing(spark):
     df = spark.createDataFrame([("a",), (None,), (None,)], "k string")
     table = CategoryTable.build(df, ["k"], {"n": F.count(F.lit(1))})
     assert table["columns"]["k"]["rows"] == [["a", 1], ["missing", 2]]
+
+
+def test_missing_entity_can_be_hot(spark):
+    rows = [(i, None if i % 2 else "a", i * 10, float(i % 7)) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, entity string, at int, value double").withColumn("ts", F.timestamp_seconds("at"))
+    assert sorted(hot_keys(df, "entity", 50), key=str) == [None, "a"]
+    plain = lag_features(df, "entity", ["ts"], ["value"], [2])
+    _same(plain, lag_features(df, "entity", ["ts"], ["value"], [2], hot_rows=50, chunk_rows=9))
+    plain = rolling_range(df, "entity", "ts", ["value"], 70, ["sum", "std"])
+    _same(plain, rolling_range(df, "entity", "ts", ["value"], 70, ["sum", "std"], hot_rows=50))
+
+
+def test_rank_blend_grows_linearly(spark):
+    df = spark.range(60).select("id", *[((F.col("id") * (k + 3)) % 17).cast("double").alias(f"m{k}") for k in range(9)])
+
+    def scans(n):
+        plan = rank_average(df, [f"m{k}" for k in range(n)], "r")._jdf.queryExecution().optimizedPlan().toString()
+        return plan.count("Range (")
+
+    assert scans(9) <= 9 * scans(1)
+
+
+def test_out_of_fold_table_knows_its_size(skewed):
+    df = skewed[0].withColumn("fold", F.col("id") % 4)
+    table = CategoryTable.build(df, ["key"], {"s": F.sum("y")}, max_local=3, extra_keys=["fold"])
+    entries = df.select("key", "fold").distinct().count()
+    assert CategoryTable.table(df.sparkSession, table, "key", {})[1] == entries
+
+
+def test_saved_chain_holds_its_tables(spark, skewed, tmp_path):
+    df, _ = skewed
+    chain = Chain([("codes", CategoricalEncoder(columns=["key"], max_local=3))], label="y", key="id").fit(df)
+    want = sorted(map(tuple, chain.transform(df).collect()))
+    chain.save(str(tmp_path / "chain"))
+    stored = chain.model.stages[0].fitted["table"]["columns"]["key"]["path"]
+    again = Chain([]).load(str(tmp_path / "chain"))
+    assert again.model.stages[0].fitted["table"]["columns"]["key"]["path"] != stored
+    assert sorted(map(tuple, again.transform(df).collect())) == want
