@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
 
@@ -29,14 +29,16 @@ def on_executors(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     """``df.mapInArrow(run, schema)``, with this package sent to the executors once a session."""
     sc = df.sparkSession.sparkContext
     if sc.applicationId not in _shipped:
-        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-        archive = os.path.join(tempfile.mkdtemp(prefix="tabloom-"), "tabloom.zip")
+        package, archive = os.path.dirname(os.path.dirname(os.path.abspath(__file__))), io.BytesIO()
         with zipfile.ZipFile(archive, "w") as z:
             for folder, _, names in os.walk(package):
-                for name in names:
-                    if name.endswith(".py"):
-                        z.write(path := os.path.join(folder, name), os.path.relpath(path, os.path.dirname(package)))
-        sc.addPyFile(archive)
+                for path in (os.path.join(folder, n) for n in names if n.endswith(".py")):
+                    z.write(path, os.path.relpath(path, os.path.dirname(package)))
+        to = sc._jvm.org.apache.hadoop.fs.Path(f"{scratch_path(df.sparkSession, 'code')}/tabloom.zip")
+        out = to.getFileSystem(sc._jsc.hadoopConfiguration()).create(to)
+        out.write(archive.getvalue())
+        out.close()
+        sc.addPyFile(to.toString())
         _shipped.add(sc.applicationId)
     return df.mapInArrow(run, schema)
 
