@@ -32,7 +32,7 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if folder is None:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = tempfile.mkdtemp(prefix="tabloom-")
     if sc.getCheckpointDir() is None:
