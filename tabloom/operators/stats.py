@@ -83,7 +83,27 @@ def exact_quantiles(
     """
     if not columns:
         return {}
-    data = df.select(*[value(df, c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
+    narrow = df.select(*[value(df, c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)]).persist()
+    try:
+        counts, wanted = _order_statistics(narrow, columns, probabilities, max_values, sample, accuracy)
+    finally:
+        narrow.unpersist()
+
+    result = {}
+    for i, (c, n) in enumerate(zip(columns, counts)):
+        result[c] = []
+        for p in probabilities:
+            if not n:
+                result[c].append(None)
+                continue
+            position = p * (n - 1)
+            low, high = wanted[i, math.floor(position)], wanted[i, math.ceil(position)]
+            result[c].append(low + (high - low) * (position - math.floor(position)))
+    return result
+
+
+def _order_statistics(data, columns, probabilities, max_values, sample, accuracy) -> tuple[list[int], dict]:
+    """(values per column, (column, rank) -> value): the passes read the narrow columns, which are kept between them."""
     counts = data.agg(*[F.count(f"v{i}") for i in range(len(columns))]).first()
 
     wanted: dict[tuple[int, int], float | None] = {}
@@ -105,18 +125,7 @@ def exact_quantiles(
 
     if search:
         _select(data, search, wanted)
-
-    result = {}
-    for i, (c, n) in enumerate(zip(columns, counts)):
-        result[c] = []
-        for p in probabilities:
-            if not n:
-                result[c].append(None)
-                continue
-            position = p * (n - 1)
-            low, high = wanted[i, math.floor(position)], wanted[i, math.ceil(position)]
-            result[c].append(low + (high - low) * (position - math.floor(position)))
-    return result
+    return counts, wanted
 
 
 def _inside(i: int, low: float, high: float) -> Column:

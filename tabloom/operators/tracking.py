@@ -16,9 +16,9 @@ from tabloom.operators.stats import correlation, quoted
 
 
 def latest_results(log: DataFrame) -> DataFrame:
-    """Newest entry per model; among equal timestamps the one written first (lowest ``seq`` if given)."""
-    seq = F.col("seq") if "seq" in log.columns else F.lit(0)
-    newest = F.max_by(F.struct("rmse", "timestamp"), F.struct(F.col("timestamp"), -seq))
+    """Newest entry per model; among equal timestamps the one written first (lowest ``seq`` and ``row``, which the log keeps)."""
+    order = [-F.col(c) for c in ("seq", "row") if c in log.columns]
+    newest = F.max_by(F.struct("rmse", "timestamp"), F.struct(F.col("timestamp"), *order))
     return log.groupBy("model").agg(newest.alias("e")).select("model", "e.rmse", "e.timestamp")
 
 

@@ -134,14 +134,14 @@ def submission_multi(spark, folder):
 
 @query("save_predictions", f"""
     WITH {PREDICTIONS}
-    SELECT {sql_rnd('m1')} AS prediction, '2024-05-06 07:08:09' AS stamp, 'm1' AS model, '20240506_070809' AS run
+    SELECT o_orderkey, {sql_rnd('m1')} AS prediction, '2024-05-06 07:08:09' AS stamp, 'm1' AS model, '20240506_070809' AS run
     FROM pred""")
 def saved_predictions(spark, folder):
     path = scratch_path(spark, "predictions")
-    save_predictions(predictions(spark, folder), "m1", "m1", datetime(2024, 5, 6, 7, 8, 9), path)
-    rows = spark.read.schema("prediction double, timestamp timestamp, model string, run string").parquet(path)
+    save_predictions(predictions(spark, folder), "m1", "m1", datetime(2024, 5, 6, 7, 8, 9), path, keys=["o_orderkey"])
+    rows = spark.read.schema("o_orderkey bigint, prediction double, timestamp timestamp, model string, run string").parquet(path)
     stamp = F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")
-    return rows.select(rnd("prediction").alias("prediction"), stamp.alias("stamp"), "model", "run")
+    return rows.select("o_orderkey", rnd("prediction").alias("prediction"), stamp.alias("stamp"), "model", "run")
 
 
 def _log_rows(spark, folder):
@@ -175,7 +175,9 @@ _LATEST = f"""latest AS (
     WITH {_LATEST}
     SELECT model, {sql_rnd('rmse', 6)} AS rmse, strftime(ts, '%Y-%m-%d') AS day FROM latest""")
 def latest(spark, folder):
-    newest = latest_results(_log_rows(spark, folder))
+    path = scratch_path(spark, "log")
+    append_results(_log_rows(spark, folder), path)
+    newest = latest_results(read_log(spark, path))
     return newest.select("model", rnd("rmse", 6).alias("rmse"), F.date_format("timestamp", "yyyy-MM-dd").alias("day"))
 
 

@@ -6,6 +6,7 @@ Sinks write folders of part files, one task each; nothing is funnelled into a si
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
@@ -17,7 +18,7 @@ from tabloom.operators.rank import number_rows
 from tabloom.operators.stats import quoted
 from tabloom.operators.validate import result_flags
 
-LOG_SCHEMA = "timestamp timestamp, model string, rmse double"
+LOG_SCHEMA = "timestamp timestamp, model string, rmse double, seq bigint, row bigint"
 
 
 def stamped(name: str, now: datetime | None = None) -> str:
@@ -109,10 +110,12 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return files.agg(F.sum("length")).first()[0] or 0
 
 
-def save_predictions(df: DataFrame, prediction: str, model: str, ts: datetime, folder: str) -> str:
-    """``prediction, timestamp`` rows of one run below ``model=.../run=...``."""
+def save_predictions(
+    df: DataFrame, prediction: str, model: str, ts: datetime, folder: str, keys: Sequence[str] = ()
+) -> str:
+    """``prediction, timestamp`` rows of one run below ``model=.../run=...``, with the key columns they belong to."""
     rows = df.select(
-        quoted(prediction).alias("prediction"), F.lit(ts).alias("timestamp"),
+        *[quoted(k) for k in keys], quoted(prediction).alias("prediction"), F.lit(ts).alias("timestamp"),
         F.lit(model).alias("model"), F.lit(ts.strftime("%Y%m%d_%H%M%S")).alias("run"),
     )
     rows.write.mode("append").partitionBy("model", "run").parquet(folder)
@@ -121,12 +124,18 @@ def save_predictions(df: DataFrame, prediction: str, model: str, ts: datetime, f
 
 def append_result(spark: SparkSession, log: str, model: str, score: float, ts: datetime | None = None) -> None:
     row = [((ts or datetime.now()).replace(microsecond=0), model, float(score))]
-    append_results(spark.createDataFrame(row, LOG_SCHEMA), log)
+    append_results(spark.createDataFrame(row, "timestamp timestamp, model string, rmse double"), log)
 
 
 def append_results(rows: DataFrame, log: str) -> None:
-    """Append (timestamp, model, rmse) rows to the log folder."""
-    rows.select("timestamp", "model", "rmse").write.mode("append").parquet(log)
+    """Append (timestamp, model, rmse) rows to the log folder.
+
+    Timestamps are whole seconds, so the log keeps the order of writing: ``seq`` is the moment of the append, ``row``
+    the column ``seq`` of ``rows`` or else the place of the row within one append.
+    """
+    row = F.col("seq") if "seq" in rows.columns else F.monotonically_increasing_id()
+    written = rows.select("timestamp", "model", "rmse", F.lit(time.time_ns()).alias("seq"), row.cast("bigint").alias("row"))
+    written.write.mode("append").parquet(log)
 
 
 def read_log(spark: SparkSession, log: str) -> DataFrame:

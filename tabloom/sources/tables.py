@@ -8,7 +8,6 @@ from pyspark.sql.types import StructType
 
 from tabloom.functions.columns import nan_to_null
 from tabloom.operators.stats import quoted
-from tabloom.session import scratch_path
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
@@ -37,11 +36,11 @@ def missing_as_null(df: DataFrame) -> DataFrame:
 
 
 def replace_table(df: DataFrame, name: str, path: str | None = None) -> str:
-    """Drop and create ``name`` from ``df``; the files go to a fresh folder, so readers of the old ones finish."""
+    """Drop and create ``name`` from ``df``, in the warehouse or at ``path``. Returns where its files are."""
     spark = df.sparkSession
-    path = path or scratch_path(spark, name.replace(".", "_"))
-    df.write.mode("overwrite").option("path", path).saveAsTable(name)
-    return path
+    writer = df.write.mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+    return path or spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Location'").first()["data_type"]
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:

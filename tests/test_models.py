@@ -351,6 +351,9 @@ def test_log(spark, tmp_path):
     log = read_log(spark, path)
     assert {r["model"]: r["rmse"] for r in latest_results(log).collect()} == {"a": 7.0, "b": 6.0}
     assert best_model(log).first()["model"] == "b"
+    for score in (1.0, 2.0, 3.0):  # within one second the first one written counts
+        append_result(spark, path, "c", score, datetime(2024, 1, 4))
+    assert latest_results(read_log(spark, path)).filter("model = 'c'").first()["rmse"] == 1.0
 
 
 def test_tables(spark, orders):
