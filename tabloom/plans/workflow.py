@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.operators import blend
-from tabloom.operators.metrics import evaluate
+from tabloom.operators.metrics import evaluate, regression_metrics
 from tabloom.operators.stats import numeric_columns, quoted
 from tabloom.plans.chain import Preprocessor
 from tabloom.plans.feature_set import FeatureSet
@@ -41,16 +41,23 @@ class Workflow:
         self.preprocessor = Preprocessor(self.config, key=self.key)
         train, validation = self.preprocessor.prepare_data(df, self.label)
         train, validation = self.preprocessor.process_train_test(train, validation)
+        prepared = train.persist()  # every feature step is fitted on it
         self.features = self.feature_set()
-        wide = self.features.fit_transform(train)
+        wide = self.features.fit_transform(prepared)
         self.inputs = numeric_columns(wide, exclude=(self.label, self.key))
         self.validation = self.features.transform(validation)
         self.models.fit(wide, self.inputs, self.label, self.validation)
+        prepared.unpersist()
         return self
 
     def validation_metrics(self) -> DataFrame:
         """One row of metrics per model, by problem type."""
         scored = self.models.predict(self.validation)
+        names = [m.name for m in self.models.models]
+        if self.problem == "regression":  # scored once, all models in one aggregate
+            pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("model"), quoted(n).alias("__p")) for n in names]))
+            long = scored.select(quoted(self.label), pairs.alias("x")).select(quoted(self.label), "x.*")
+            return regression_metrics(long, self.label, "__p", by=["model"])
         out = None
         for m in self.models.models:
             row = evaluate(scored, self.label, m.name, self.problem).select(F.lit(m.name).alias("model"), "*")
@@ -67,9 +74,10 @@ class Workflow:
 
     def write(self, df: DataFrame, folder: str) -> dict[str, str]:
         """One result folder per model and one for their mean."""
-        predictions, names = self.predict(df), [m.name for m in self.models.models]
+        predictions, names = self.predict(df).persist(), [m.name for m in self.models.models]
         writer = ResultWriter(folder, self.key, self.label)
         paths = writer.write_each(predictions, names, ids=self.key)
         mean = predictions.withColumn("__mean", blend.average(names))
         paths["ensemble"] = writer.write(mean, "__mean", ids=self.key, name="ensemble_submission")
+        predictions.unpersist()
         return paths

@@ -132,13 +132,27 @@ def cross_validated(spark, folder):
     return trials.select(F.col("params")["alpha"].cast("double").alias("alpha"), rnd("score", 3).alias("score"))
 
 
-@query("search_random")
+_DRAWN = " UNION ALL ".join(
+    f"SELECT {t}::BIGINT AS trial, exp(ln(0.1) + ('0x' || substr(md5(concat_ws('|', '{t}', 'alpha', '42')), 1, 7))::BIGINT"
+    " / 268435456.0 * (ln(1000) - ln(0.1))) AS alpha" for t in range(6))
+
+
+@query("search_random", f"""
+    WITH {REG}, drawn AS ({_DRAWN}),
+    tr AS (SELECT trial, alpha, -avg(power(y - (my + n * g / (n + alpha) * (c - mc) / sc), 2)) AS score
+           FROM reg, fit, drawn WHERE held GROUP BY trial, alpha),
+    best AS (SELECT *, max(score) OVER (ORDER BY trial ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM tr),
+    stale AS (SELECT *, trial - max(CASE WHEN seen IS NULL OR score > seen THEN trial END) OVER (ORDER BY trial) AS stale FROM best)
+    SELECT trial, {sql_rnd('alpha')} AS alpha, {sql_rnd('score', 3)} AS score FROM stale
+    WHERE trial <= coalesce((SELECT min(trial) FROM stale WHERE stale >= 3), 99)""")
 def random_search(spark, folder):
+    """Penalties follow from the trial's hash; the search ends after three trials without a better score."""
     rows = regression_rows(spark, folder)
     space = {"alpha": {"type": "loguniform", "low": 0.1, "high": 1000}}
     search = Search(SearchConfig(space, n_trials=6, early_stopping_rounds=3), "bayesian")
-    result = search.run(model_by_name("ridge"), rows.filter("not held"), ["c", "h"], "y", rows.filter("held"))
-    return result.trials().select("trial", F.col("params")["alpha"].cast("double").alias("alpha"), rnd("score", 3).alias("score"))
+    result = search.run(model_by_name("ridge"), rows.filter("not held"), ["c"], "y", rows.filter("held"))
+    alpha = F.col("params")["alpha"].cast("double")
+    return result.trials().select("trial", rnd(alpha).alias("alpha"), rnd("score", 3).alias("score"))
 
 
 @query("search_auto", _sql_ridge_scores(f"'grid' AS method, trial, {sql_rnd('score', 3)} AS score"))
