@@ -23,6 +23,7 @@ from tabloom.plans.models import (
     stopping_round,
     tuned_models,
 )
+from tabloom.plans.presets import preset
 from tabloom.plans.search import (
     Search,
     SearchConfig,
@@ -410,3 +411,21 @@ def test_settings_without_effect_are_refused():
 def test_starting_rounds():
     assert [model_by_name(b).get_params()["n_estimators"] for b in ("xgboost", "lightgbm", "catboost")] == [1000] * 3
     assert {m.get_params()["n_estimators"] for m in tuned_models()} == {1000, 1500}
+
+
+def test_settings_drive_the_workflow(spark, orders):
+    rows = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_totalprice")
+    flow = Workflow.from_settings(preset("tabular"), "o_orderkey", "o_totalprice", n_estimators=2, max_depth=2).fit(rows)
+    out = flow.predict(rows)
+    assert out.columns == ["o_orderkey", "xgboost", "lightgbm", "catboost", "ensemble_average", "ensemble_weighted"]
+    off = out.filter("abs(ensemble_average - (xgboost + lightgbm + catboost) / 3) > 1e-6 * abs(xgboost)")
+    assert out.count() == rows.count() and off.count() == 0
+    assert {"o_custkey_log", "o_custkey_square"} <= set(flow.inputs)
+    search = Workflow.from_settings(preset("regression"), "o_orderkey").search({"alpha": [1.0]}, timeout=None)
+    assert (search.method, search.config.n_trials, search.config.cv_folds) == ("optuna", 200, 5)
+
+
+def test_time_series_settings_need_entity_and_order(spark, orders):
+    rows = orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    with pytest.raises(ValueError, match="entity"):
+        Workflow.from_settings(preset("time_series"), "o_orderkey", "o_totalprice", n_estimators=2).fit(rows)
