@@ -34,12 +34,13 @@ ASIDE = {"nav", "footer", "aside", "form", "menu", "dialog", "button"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu", "menubar", "toolbar"}
 REMARKS = {"comment", "comments", "commentlist", "disqus", "reply", "replies", "respond"}
 PARTS = REMARKS | {
-    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "consent", "cookie",
-    "cookies", "copyright", "disclaimer", "footer", "gdpr", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation",
-    "newsletter", "notice", "notices", "pager", "pagination", "popup", "promo", "related", "search", "share", "sharing", "sidebar",
+    "ad", "ads", "adsbygoogle", "advert", "adverts", "advertisement", "advertising", "alert", "banner", "breadcrumb", "breadcrumbs", "consent", "cookie",
+    "cookies", "copyright", "disclaimer", "discussion", "footer", "gdpr", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation",
+    "newsletter", "notice", "notices", "pager", "pagination", "popup", "promo", "related", "responses", "search", "share", "sharing", "sidebar",
     "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "topbar", "widget",
 }
-OUTSIDE, ARTICLE, REMOVED, ALWAYS_REMOVED = 0, 1, 2, 3
+ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+OUTSIDE, ARTICLE, REMOVED, ALWAYS_REMOVED, UNSEEN = range(5)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 #: Cells (bits) of the alignment held at once; longer pairs are halved first.
 CELLS = 1 << 30
@@ -62,7 +63,9 @@ class _Lines(HTMLParser):
 
     def _kind(self, tag: str, attributes: list[tuple[str, str | None]]) -> int:
         above = self.open[-1][1] if self.open else OUTSIDE
-        if above == ALWAYS_REMOVED or tag in NO_TEXT:
+        if above == UNSEEN or tag in NO_TEXT:
+            return UNSEEN
+        if above == ALWAYS_REMOVED:
             return ALWAYS_REMOVED
         named = {k: v or "" for k, v in attributes}
         words = {w.lower() for k in ("class", "id") for w in _NAME.findall(named.get(k, ""))}
@@ -79,10 +82,12 @@ class _Lines(HTMLParser):
         return above
 
     def handle_starttag(self, tag: str, attributes: list[tuple[str, str | None]]) -> None:
-        if tag in BLOCKS or tag in NO_TEXT:
+        if tag in BLOCKS:
             self._end_line()
-            while self.open and self.open[-1][0] in INLINE | {"span", "p"} and tag in BLOCKS - {"br"}:
-                self.open.pop()  # a block ends what was left open inside a paragraph, and the paragraph
+            if tag != "br":  # a block ends the head, what was left open inside a paragraph, and the paragraph
+                self.open = [x for x in self.open if x[0] != "head"]
+                while self.open and self.open[-1][0] in INLINE | {"span", "p"} | ENDED_BY.get(tag, set()):
+                    self.open.pop()
         if tag not in VOID:
             self.open.append((tag, self._kind(tag, attributes)))
 
@@ -92,7 +97,7 @@ class _Lines(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in BLOCKS or tag in NO_TEXT:
+        if tag in BLOCKS:
             self._end_line()
         for at in range(len(self.open) - 1, -1, -1):
             if self.open[at][0] == tag:
@@ -100,8 +105,12 @@ class _Lines(HTMLParser):
                 break
 
     def handle_data(self, data: str) -> None:
-        if not (self.open and self.open[-1][0] in NO_TEXT):
-            self.held.append(data)
+        kind = self.open[-1][1] if self.open else OUTSIDE
+        if kind >= REMOVED:  # part of a line of its own, or of one that stays without it
+            block = next((k for t, k in reversed(self.open) if t in BLOCKS), OUTSIDE)
+            if kind == UNSEEN or block < REMOVED:
+                return
+        self.held.append(data)
 
 
 def text_lines(html: str | None) -> list[tuple[str, int]]:

@@ -198,6 +198,17 @@ def test_parts_that_are_not_the_article(spark):
     assert texts(pages_of(spark, [(1, "http://h/1", html)]))[1] == want.replace("boldline", "bold line")
 
 
+def test_elements_left_open():
+    html = "<html><head><title>T</title><meta charset=utf-8><body><ul class=menu><li>m</ul><article><ul><li class=ad>buy<li>kept</ul><p>one<p><b>two<p>three"
+    lines = pages.text_lines(html)
+    assert pages.main_text(lines, ()) == "kept\none\ntwo\nthree"
+    assert [t for t, _ in pages.text_lines("a <script>var x='</p>';b</script>c<!-- d --><p>e &lt; &#102;&nbsp;g &zzz;")] == ["a c", "e < f g &zzz;"]
+    inner = "<article><p>keep <span class=ad>buy</span>this<svg><text>no</text></svg> <select><option>x</select>too</p></article>"
+    assert pages.main_text(pages.text_lines(inner), ()) == "keep this too"
+    table = "<article><table><tr><td>a<td class=ad>b<tr><td>c</table><dl><dt>d<dd>e<dt>f</dl>"
+    assert pages.main_text(pages.text_lines(table), ()) == "a\nc\nd\ne\nf"
+
+
 def test_copies_and_edges_of_pages(spark):
     same = "<article><p>One &amp; two</p></article>"
     bare = "<p>only text</p><p>more</p>"
