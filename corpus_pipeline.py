@@ -41,7 +41,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their token ids, and whether decoding these gives the text again (null texts: empty)."""
     tokenizer = bpe.load(spark, public_tokenizers.path(VOCABULARY))
-    decoded = bpe.decode(bpe.encode(docs, tokenizer), tokenizer)
+    decoded = bpe.encode(docs, tokenizer, decoded="decoded")
     return decoded.withColumn("round_trip", F.col("decoded") == F.coalesce("text", F.lit(""))).drop("decoded")
 
 

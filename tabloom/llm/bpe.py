@@ -25,12 +25,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from tabloom.llm.common import on_executors, schema_with, sliced
+from tabloom.llm.common import claim, on_executors, schema_with, sliced
 
 #: Fixed: how this vocabulary splits text into words.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Entries of the tables that are filled while encoding, per Python worker; full tables start again empty.
-MEMO = 200_000
+MEMO = 150_000
 _ALWAYS = 1 << 60
 
 
@@ -190,6 +190,7 @@ _WORKER: dict[str, Automaton] = {}
 
 
 def _automaton(name: str, tables) -> Automaton:
+    claim("bpe", _WORKER.clear)
     if name not in _WORKER:
         _WORKER.clear()
         _WORKER[name] = Automaton(tables.value)
@@ -207,22 +208,29 @@ def _replace(batch: pa.RecordBatch, drop: list[str], add: dict[str, pa.Array]) -
     return pa.RecordBatch.from_arrays([*[batch.column(n) for n in keep], *add.values()], [*keep, *add])
 
 
-def encode(docs: DataFrame, tokenizer, text: str = "text", keep_text: bool = True) -> DataFrame:
+def encode(docs: DataFrame, tokenizer, text: str = "text", keep_text: bool = True, decoded: str | None = None) -> DataFrame:
     """``docs`` with ``n_tokens`` long and ``ids`` binary (little-endian unsigned 32-bit numbers).
 
+    ``decoded`` names a column for what the ids decode to; it is made by the worker that encodes, without a second pass.
+
     Null text encodes like empty text, to no tokens. Columns already named so are replaced. Rows are independent:
     repeated rows and very long texts need nothing special, and no rows in are no rows out.
     """
     name, tables = tokenizer
     drop = [] if keep_text else [text]
+    made = ["n_tokens", "ids", *([decoded] if decoded else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _automaton(name, tables)
         for batch in sliced(batches):
             ids = [automaton.encode(t) if t else b"" for t in batch.column(text).to_pylist()]
-            yield _replace(batch, drop, {"n_tokens": pa.array([len(i) // 4 for i in ids], pa.int64()), "ids": pa.array(ids, pa.binary())})
+            columns = {"n_tokens": pa.array([len(i) // 4 for i in ids], pa.int64()), "ids": pa.array(ids, pa.binary())}
+            if decoded:
+                columns[decoded] = pa.array([decode_ids(automaton.tables, i) if i else "" for i in ids], pa.string())
+            yield _replace(batch, drop, columns)
 
-    return on_executors(docs, run, schema_with(docs, ["n_tokens", "ids", *drop], "n_tokens bigint, ids binary"))
+    kinds = "n_tokens bigint, ids binary" + (f", `{decoded}` string" if decoded else "")
+    return on_executors(docs, run, schema_with(docs, [*made, *drop], kinds))
 
 
 def decode(encoded: DataFrame, tokenizer, ids: str = "ids", into: str = "decoded") -> DataFrame:

@@ -43,6 +43,18 @@ def on_executors(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+_owner: list = [None, None]
+
+
+def claim(owner: str, clear: Callable[[], None]) -> None:
+    """Called by a task that fills tables in its Python worker: the tables of another operator, which used the worker
+    before, are emptied. Workers outlive stages, and their memory counts against the executor's."""
+    if _owner[0] not in (None, owner):
+        _owner[1]()
+        pa.default_memory_pool().release_unused()
+    _owner[:] = [owner, clear]
+
+
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches, so that a task holds few texts as Python objects at a time."""
     for batch in batches:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import on_executors, sliced
+from tabloom.llm.common import claim, on_executors, sliced
 from tabloom.session import scratch_path
 
 ORDERS = (1, 2, 3)
@@ -120,6 +120,7 @@ def _document_frequencies(rows: DataFrame, dimensions: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(dimensions + 1, np.int64)
+        claim("language", lambda: None)
         for batch in sliced(batches):
             for text in batch.column(0).to_pylist():
                 seen[:-1] += gram_counts(text, dimensions) > 0
@@ -200,6 +201,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
+        claim("language", lambda: None)
         for batch in sliced(batches):
             names, scores = [], []
             for text, letters in zip(batch.column("text").to_pylist(), batch.column("_letters").to_pylist()):

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import Forest, blocked, groups, kept, on_executors, sliced
+from tabloom.llm.common import Forest, blocked, claim, groups, kept, on_executors, sliced
 from tabloom.llm.components import components
 
 VALUES = 40
@@ -33,7 +33,7 @@ BITS = 16
 WHOLE = 256
 SHINGLES = 1 << 20
 LARGEST_BLOCK = 4096
-_WORDS = 400_000
+_WORDS = 300_000
 
 _rng = np.random.default_rng(20240607)
 _A = _rng.integers(1, 1 << 63, VALUES, dtype=np.uint64) | np.uint64(1)
@@ -88,6 +88,7 @@ def sign(docs: DataFrame, width: int) -> DataFrame:
     """(doc_id, n_shingles, f1, f2, signature) of every row, kept in the shared folder."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("near_dup", _HASHES.clear)
         for batch in sliced(batches):
             out = []
             for text in batch.column("text").to_pylist():

@@ -65,8 +65,8 @@ def extract_main_text(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op7_bpe")
 def encode_and_decode(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = bpe.load(spark, public_tokenizers.path(VOCABULARY))
-    encoded = bpe.encode(_table(spark, folder, "documents").select("doc_id", "text"), tokenizer, keep_text=False)
-    return bpe.decode(encoded, tokenizer).select(
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return bpe.encode(docs, tokenizer, keep_text=False, decoded="decoded").select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
     )
 
