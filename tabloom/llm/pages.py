@@ -1,10 +1,10 @@
 """Main text of web pages by differencing pages with near URLs.
 
 Pages of a host are paired by URL path. The text lines of a pair are aligned by longest common subsequence; lines that
-both pages have are the site's, not the page's, and are deleted. Three things differencing cannot see are read off the
-markup: what is no text at all, what stands in a menu, footer, advert, form or the like although its words change from
-page to page, and what the page itself marks as its article. Marked article text is kept even if the other page has it
-too, for then the pages are copies.
+both pages have are the site's, not the page's, and are deleted, inside a marked article too. Three things differencing
+cannot see are read off the markup: what is no text at all, what stands in a menu, footer, advert, form or the like
+although its words change from page to page, and what the page itself marks as its article. An article that is mostly
+shared is kept whole, for then the pages are copies.
 """
 
 from __future__ import annotations
@@ -44,6 +44,8 @@ OUTSIDE, ARTICLE, REMOVED, ALWAYS_REMOVED, UNSEEN = range(5)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 #: Cells (bits) of the alignment held at once; longer pairs are halved first.
 CELLS = 1 << 30
+#: An article with more than this share of its characters in lines of the other page is a copy.
+COPIED = 0.5
 
 
 class _Lines(HTMLParser):
@@ -284,11 +286,17 @@ def shared_lines(pages: DataFrame) -> DataFrame:
 
 
 def main_text(lines: list[tuple[str, int]], shared: Sequence[int]) -> str:
-    """What is left: marked article lines if there are any, else lines that stand nowhere special and are not shared."""
-    if any(kind == ARTICLE for _, kind in lines):
-        return "\n".join(text for text, kind in lines if kind == ARTICLE)
+    """The marked article's lines if there are any, else the lines that stand nowhere special, without the shared ones.
+
+    An article that shares more than ``COPIED`` of its characters is a copy of the other page's, not boilerplate: it stays whole.
+    """
+    wanted = ARTICLE if any(kind == ARTICLE for _, kind in lines) else OUTSIDE
     gone = set(shared)
-    return "\n".join(text for at, (text, kind) in enumerate(lines) if kind == OUTSIDE and at not in gone)
+    if wanted == ARTICLE:
+        sizes = {at: len(text) for at, (text, kind) in enumerate(lines) if kind == ARTICLE}
+        if sum(size for at, size in sizes.items() if at in gone) > COPIED * sum(sizes.values()):
+            gone = set()
+    return "\n".join(text for at, (text, kind) in enumerate(lines) if kind == wanted and at not in gone)
 
 
 def extract(pages: DataFrame) -> DataFrame:

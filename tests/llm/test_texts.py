@@ -174,6 +174,17 @@ def test_lines_shared_with_the_nearest_page_go(spark):
     assert texts(pages_of(spark, rows)) == {i: f"Own text {i}\nMore of {i}" for i in range(8)}
 
 
+def test_shared_lines_inside_a_marked_article_go(spark):
+    def page(menu, body):
+        return f"<nav>{menu}</nav><article><h1>Title {body}</h1><div class='x7'>Read our other papers</div><p>Own text of {body}, a few words long</p></article>"
+
+    rows = [(i, f"http://h.example/{i}", page(f"menu {i}", i)) for i in range(4)]
+    rows += [(10 + i, f"http://copies.example/{i}", page(f"menu {i}", "all")) for i in range(2)]  # copies but for the menu
+    found = texts(pages_of(spark, rows))
+    assert [found[i] for i in range(4)] == [f"Title {i}\nOwn text of {i}, a few words long" for i in range(4)]
+    assert found[10] == found[11] == "Title all\nRead our other papers\nOwn text of all, a few words long"
+
+
 def test_pages_of_one_host_over_many_ranges(spark):
     rows = [(i, f"http://big.example/x/{i:04d}", f"<div>Menu of all</div><p>Only {i}</p>") for i in range(60)]
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
