@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabloom.llm.common import kept, on_executors, schema_with, sliced
+from tabloom.llm.components import components
 
 # Element and attribute names of HTML, and words that sites use for parts which are not the article.
 NO_TEXT = {"script", "style", "head", "title", "noscript", "template", "iframe", "object", "svg", "math", "canvas", "textarea", "select", "option", "datalist"}
@@ -46,6 +47,8 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 CELLS = 1 << 30
 #: An article with more than this share of its characters in lines of the other page is a copy.
 COPIED = 0.5
+#: So is a page without a marked article with this share of the characters it could keep.
+COPIED_PAGE = 0.9
 
 
 class _Lines(HTMLParser):
@@ -193,21 +196,32 @@ def _keyed(pages: DataFrame) -> DataFrame:
     return pages.withColumn("_key", F.xxhash64(F.col("page_id").cast("string"), "url", "html"))
 
 
+def _wanted(lines: list[tuple[str, int]]) -> int:
+    """The kind of line that a page gives: those of the article if it marks one."""
+    return ARTICLE if any(kind == ARTICLE for _, kind in lines) else OUTSIDE
+
+
 def _hashed(pages: DataFrame) -> DataFrame:
-    """(key, host, path, hashes) of every different page, kept in the shared folder. Pages without a host have none."""
+    """(key, host, path, hashes, sizes, marked) of every different page, kept in the shared folder. Pages without a host
+    have none. ``sizes`` are the characters of each line that the page could give, 0 for other lines."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            hashes = [line_hashes(text_lines(h)) for h in batch.column("html").to_pylist()]
+            read = [text_lines(h) for h in batch.column("html").to_pylist()]
+            kinds = [_wanted(lines) for lines in read]
+            sizes = [[len(text) if kind == wanted else 0 for text, kind in lines] for lines, wanted in zip(read, kinds)]
             names = [n for n in batch.schema.names if n != "html"]
-            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(hashes, pa.list_(pa.int64()))], [*names, "hashes"])
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(n) for n in names], pa.array([line_hashes(lines) for lines in read], pa.list_(pa.int64())),
+                 pa.array(sizes, pa.list_(pa.int32())), pa.array([k == ARTICLE for k in kinds], pa.bool_())], [*names, "hashes", "sizes", "marked"],
+            )
 
     url = F.col("url")
     parsed = _keyed(pages).select(
         F.col("_key").alias("key"), F.lower(F.try_parse_url(url, F.lit("HOST"))).alias("host"),
         F.coalesce(F.try_parse_url(url, F.lit("FILE")), F.lit("")).alias("path"), "html",
     )
-    hashed = on_executors(parsed, run, "key bigint, host string, path string, hashes array<bigint>")
+    hashed = on_executors(parsed, run, "key bigint, host string, path string, hashes array<bigint>, sizes array<int>, marked boolean")
     return kept(hashed.dropDuplicates(["key"]), "page-lines")
 
 
@@ -264,25 +278,67 @@ def _shared_beginning(a: str, b: str):
     return F.when(F.col(b).isNotNull(), F.when(first == 0, F.size(same)).otherwise(first - 1))
 
 
+def _copied(found: Sequence[int], sizes: Sequence[int], marked: bool) -> bool:
+    """Whether the lines ``found`` hold so much of what a page could give that the other page has its text."""
+    whole = sum(sizes)
+    share = sum(sizes[i] for i in found) / whole if whole else len(found) / max(1, len(sizes))
+    return share > COPIED if marked else share >= COPIED_PAGE
+
+
 def shared_lines(pages: DataFrame) -> DataFrame:
-    """(key, shared): places of the lines that a page has in common with its nearest neighbour.
+    """(key, shared): places of the lines that a page has in common with its nearest neighbour that differs.
 
-    A neighbour with the very same lines is a copy and shows nothing; then the other neighbour is taken, if any.
+    Pages of a host with the very same lines are one page here, at the first of their paths. Two pages that each have
+    nearly all of the other's text are copies and show nothing; then the other neighbour is taken. A page between copies
+    only forms a group with them, and is compared with the pages before and after the group, until one differs or none
+    is left. Groups are runs in the order of paths, so each round is one sort of a page per group.
     """
     hashed = _hashed(pages)
-    mine = hashed.select("key", "hashes")
-    pairs = neighbours(hashed).join(mine.select(F.col("key").alias("other"), F.col("hashes").alias("others")), "other").join(mine, "key")
-    differing = pairs.where(F.col("others") != F.col("hashes"))
-    nearest = differing.groupBy("key").agg(
-        F.max_by(F.struct("hashes", "others"), F.struct(F.col("nearness"), F.col("other"))).alias("pair"),
-    ).select("key", "pair.*")
+    text = ("hashes", "sizes", "marked")
+    alike = hashed.where("host IS NOT NULL").select("key", "host", "path", F.xxhash64(*text).alias("content"))
+    first = F.min(F.struct("path", "key")).alias("first")
+    texts = kept(alike.groupBy("host", "content").agg(first).select("host", "content", "first.path", F.col("first.key").alias("text")), "page-texts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            found = [common_lines(a, b) for a, b in zip(batch.column("hashes").to_pylist(), batch.column("others").to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(found, pa.list_(pa.int32()))], ["key", "shared"])
+            shared, copies = [], []
+            for hashes, sizes, marked, beside in zip(*[batch.column(n).to_pylist() for n in (*text, "beside")]):
+                for other in beside:
+                    found = common_lines(hashes, other["hashes"])
+                    if not _copied(found, sizes, marked) or not _copied(common_lines(other["hashes"], hashes), other["sizes"], other["marked"]):
+                        shared.append(found)
+                        copies.append(None)
+                        break
+                else:
+                    shared.append(None)
+                    copies.append([other["other"] for other in beside])
+            columns = [batch.column(n) for n in ("text", "host", "run")]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(shared, pa.list_(pa.int32())), pa.array(copies, pa.list_(pa.int64()))], ["text", "host", "run", "shared", "copies"],
+            )
 
-    return kept(on_executors(nearest, run, "key bigint, shared array<int>").where(F.size("shared") > 0), "shared-lines")
+    places = texts.select("host", "path", F.col("text").alias("key"))
+    undecided = texts.select("text", "host", F.col("text").alias("run"))
+    decided = None
+    while True:
+        others = hashed.select(F.col("key").alias("other"), *text)
+        beside = neighbours(places).join(others, "other").groupBy(F.col("key").alias("run")).agg(
+            F.sort_array(F.collect_list(F.struct("nearness", "other", *text)), asc=False).alias("beside"),
+        )
+        rows = undecided.join(beside, "run").join(hashed.select(F.col("key").alias("text"), *text), "text")
+        compared = on_executors(rows, run, "text bigint, host string, run bigint, shared array<int>, copies array<bigint>")
+        compared = kept(compared, "page-pairs")
+        found = compared.where("copies IS NULL").select("text", "shared")
+        decided = found if decided is None else decided.unionByName(found)
+        left = compared.where("copies IS NOT NULL")
+        if left.isEmpty():
+            break
+        runs = kept(components(left.select(F.col("run").alias("a"), F.explode("copies").alias("b"))), "page-runs")
+        inside = runs.where("node <> component").select(F.col("node").alias("key"))
+        places = kept(places.join(left.select("host").distinct(), "host", "left_semi").join(inside, "key", "left_anti").select("host", "path", "key"), "page-places")
+        undecided = left.join(runs, F.col("run") == F.col("node")).select("text", "host", F.col("component").alias("run"))
+    of_text = alike.join(texts.select("host", "content", "text"), ["host", "content"]).select("key", "text")
+    return kept(of_text.join(decided.where(F.size("shared") > 0), "text").select("key", "shared"), "shared-lines")
 
 
 def main_text(lines: list[tuple[str, int]], shared: Sequence[int]) -> str:
@@ -290,7 +346,7 @@ def main_text(lines: list[tuple[str, int]], shared: Sequence[int]) -> str:
 
     An article that shares more than ``COPIED`` of its characters is a copy of the other page's, not boilerplate: it stays whole.
     """
-    wanted = ARTICLE if any(kind == ARTICLE for _, kind in lines) else OUTSIDE
+    wanted = _wanted(lines)
     gone = set(shared)
     if wanted == ARTICLE:
         sizes = {at: len(text) for at, (text, kind) in enumerate(lines) if kind == ARTICLE}
@@ -302,8 +358,8 @@ def main_text(lines: list[tuple[str, int]], shared: Sequence[int]) -> str:
 def extract(pages: DataFrame) -> DataFrame:
     """``pages`` (page_id, url, html) with ``text`` and ``n_chars`` instead of html.
 
-    Null or empty html has empty text. A null or malformed URL, or a host with one page, leaves nothing to compare with;
-    then only the markup decides. Rows alike in id, URL and html are one page and get the same text. Columns named text
+    Null or empty html has empty text. A null or malformed URL, or a host whose pages are all copies of one, leaves
+    nothing to compare with; then only the markup decides. Rows alike in id, URL and html are one page and get the same text. Columns named text
     or n_chars are replaced. Whole pages are read; cut-off markup is read as far as it goes.
     """
     base = _keyed(pages.drop("text", "n_chars"))

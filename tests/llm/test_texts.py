@@ -185,6 +185,21 @@ def test_shared_lines_inside_a_marked_article_go(spark):
     assert found[10] == found[11] == "Title all\nRead our other papers\nOwn text of all, a few words long"
 
 
+def test_copies_are_compared_with_the_next_page_that_differs(spark):
+    def page(body):
+        return f"<div>Menu of the site</div>{body}<div>All about us</div>"
+
+    long = "".join(f"<p>Paragraph {i} of a text that stands in several pages of this host</p>" for i in range(9))
+    plain = "\n".join(f"Paragraph {i} of a text that stands in several pages of this host" for i in range(9))
+    rows = [(i, f"http://same.example/{i}", page(long)) for i in range(5)] + [(5, "http://same.example/z", page("<p>Another</p>"))]
+    rows += [(10 + i, f"http://near.example/{i}", page(f"{long}<p>Version {i}</p>")) for i in range(5)] + [(15, "http://near.example/z", page("<p>Another</p>"))]
+    rows += [(20 + i, f"http://only.example/{i}", page(f"{long}<p>Version {i}</p>")) for i in range(3)]
+    found = texts(pages_of(spark, rows))
+    assert all(found[i] == plain for i in range(5)) and found[5] == found[15] == "Another"
+    assert all(found[10 + i] == f"{plain}\nVersion {i}" for i in range(5))
+    assert all(found[20 + i] == f"Menu of the site\n{plain}\nVersion {i}\nAll about us" for i in range(3))
+
+
 def test_pages_of_one_host_over_many_ranges(spark):
     rows = [(i, f"http://big.example/x/{i:04d}", f"<div>Menu of all</div><p>Only {i}</p>") for i in range(60)]
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
