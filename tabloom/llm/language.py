@@ -21,7 +21,7 @@ from tabloom.session import scratch_path
 
 ORDERS = (1, 2, 3)
 DIMENSIONS = 1 << 15
-#: Rows to learn from, about; shared evenly by the languages.
+#: Different texts to learn from, at most; shared evenly by the languages.
 SAMPLE = 4_000
 UNDETERMINED = "und"
 _OTHER = re.compile(r"[\W\d_]+")
@@ -134,15 +134,30 @@ def _document_frequencies(rows: DataFrame, dimensions: int) -> np.ndarray:
     return np.log((1 + seen[-1]) / (1 + seen[:-1])) + 1
 
 
+def drawn(rows: DataFrame, texts: dict[str, int], each: int, seed: int) -> DataFrame:
+    """(label, text, draw) of rows (label, text): different texts, some more than ``each`` of a language that has so many.
+
+    A text comes in by a hash of itself, so reruns agree, and once per label however many copies it has.
+    """
+    least = each + 4 * each**0.5  # a draw of this mean falls short of ``each`` in one of 30,000
+    at = F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    share = F.element_at(F.create_map(*[x for name, n in texts.items() for x in (F.lit(name), F.lit(min(1.0, least / n)))]), F.col("label"))
+    keyed = rows.where(at < share).withColumn("draw", F.xxhash64("text", F.lit(seed + 1)))
+    return keyed.groupBy("label", "draw").agg(F.min("text").alias("text")).select("label", "text", "draw")
+
+
 def fit(learnable: DataFrame, label: str = "lang", sample: int = SAMPLE, dimensions: int = DIMENSIONS, seed: int = 11) -> Model:
-    """Learn from the rows with text and label. Rows come into the sample by a hash of their text, so reruns agree.
+    """Learn from the rows with text and label: from ``sample`` different texts at most, as many of each language.
 
+    A fifth of them is held back for the temperature by a hash of the text; a language's first text is learned from.
     Only one number per n-gram, one row per language and the finished weights come to the driver; the sample goes to one
     task, as sparse vectors. Without a learnable row the model knows no language.
     """
     spark = learnable.sparkSession
     rows = learnable.where(F.col(label).isNotNull() & F.col("text").isNotNull()).select(F.col(label).cast("string").alias("label"), "text")
-    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    of_text = rows.groupBy("label", F.xxhash64("text").alias("t")).agg(F.count("*").alias("n"))
+    counted = of_text.groupBy("label").agg(F.sum("n").alias("n"), F.count("*").alias("texts")).collect()
+    counts = {r["label"]: r["n"] for r in counted}
     if not counts:
         return Model([], np.zeros(dimensions), np.zeros((dimensions + 1, 0)), 1.0)
     idf = _document_frequencies(rows, dimensions)
@@ -150,9 +165,7 @@ def fit(learnable: DataFrame, label: str = "lang", sample: int = SAMPLE, dimensi
     index = {name: i for i, name in enumerate(languages)}
     each = max(1, sample // len(languages))
     shared = spark.sparkContext.broadcast(idf)
-    draw = F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    share = F.element_at(F.create_map(*[x for name in languages for x in (F.lit(name), F.lit(min(1.0, each / counts[name])))]), F.col("label"))
-    drawn = rows.where(draw < share).withColumn("draw", F.xxhash64("text", F.lit(seed + 1)))
+    chosen = drawn(rows, {r["label"]: r["texts"] for r in counted}, each, seed)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
@@ -168,9 +181,15 @@ def fit(learnable: DataFrame, label: str = "lang", sample: int = SAMPLE, dimensi
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = [r for b in batches for r in zip(*[b.column(n).to_pylist() for n in ("draw", "label", "at", "x")])]
         table.sort()
-        read = [(np.frombuffer(at, "<i4").astype(np.int64), np.frombuffer(x, "<f4").astype(np.float64), y) for _, y, at, x in table]
-        back = [r for i, r in enumerate(read) if i % 5 == 4]
-        weights = ftrl([r for i, r in enumerate(read) if i % 5 != 4], dimensions, len(languages))
+        of_label: list[list] = [[] for _ in languages]
+        for r in table:
+            if len(of_label[r[1]]) < each:
+                of_label[r[1]].append(r)
+        first = {own[0][0] for own in of_label if own}
+        read = [(np.frombuffer(at, "<i4").astype(np.int64), np.frombuffer(x, "<f4").astype(np.float64), y, draw % 5 == 4 and draw not in first)
+                for draw, y, at, x in sorted(r for own in of_label for r in own)]
+        back = [r[:3] for r in read if r[3]]
+        weights = ftrl([r[:3] for r in read if not r[3]], dimensions, len(languages))
         logits = np.array([x @ weights[at] + weights[-1] for at, x, _ in back]).reshape(-1, len(languages))
         t = temperature(logits, np.array([y for _, _, y in back], np.int64))
         at, cls = np.nonzero(weights)
@@ -179,7 +198,7 @@ def fit(learnable: DataFrame, label: str = "lang", sample: int = SAMPLE, dimensi
         )
 
     path = scratch_path(spark, "language-model")
-    sparse = on_executors(drawn, vectors, "label int, draw bigint, at binary, x binary")
+    sparse = on_executors(chosen, vectors, "label int, draw bigint, at binary, x binary")
     sparse.repartition(1).mapInArrow(learn, "at int, cls int, weight double").write.parquet(path)
     learned = spark.read.parquet(path).toPandas()
     t = float(learned.loc[learned["at"] < 0, "weight"].iloc[0])

@@ -128,6 +128,18 @@ def test_language_edges(spark, documents):
     assert {r.lang_pred for r in one.collect()} == {"aa"}
 
 
+def test_copies_are_drawn_once_and_held_back_together(spark):
+    """Labels by chance: what is held back cannot be known, unless a copy of it was learned from."""
+    rng = random.Random(5)
+    made = [("".join(rng.choices("abcdefghijklmnop", k=40)), rng.choice(["aa", "bb"])) for _ in range(60)]
+    docs = docs_of(spark, [(20 * i + k, *r) for i, r in enumerate(made) for k in range(20)])
+    model = language.fit(docs)
+    assert model.temperature > 1 and sum(model.rows.values()) == 1200
+    rows = docs.selectExpr("lang AS label", "text")
+    got = collections.Counter((r.label, r.text) for r in language.drawn(rows, {"aa": 30, "bb": 30}, 100, 1).collect())
+    assert set(got.values()) == {1} and set(got) == {(label, text) for text, label in made}
+
+
 def test_temperature_and_sparsity():
     rng = np.random.default_rng(1)
     logits = rng.normal(size=(4000, 3))
