@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import ball_tree, bpe, cross_polytope, language, lines, mixing, near_dup, pages, spans, token_counts
+from tabloom.llm import ball_tree, bpe, cross_polytope, language, lines, mixing, near_dup, packing, pages, spans, token_counts
 
 VOCABULARY = "byte_bpe_50k.json"
+WORDS = "word_bpe_49k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -84,3 +85,9 @@ def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op10_line_dedup", lines.SQL)
 def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.clean_lines(_table(spark, folder, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+
+
+@_query("op12_best_fit_packing")
+def pack_documents(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = packing.load(spark, public_tokenizers.path(WORDS))
+    return packing.pack(packing.pieces(_table(spark, folder, "documents"), tokenizer))
