@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import ball_tree, bpe, cross_polytope, language, lines, mixing, near_dup, packing, pages, spans, token_counts
+from tabloom.llm import ball_tree, bloom_rank, bpe, cross_polytope, language, lines, mixing, near_dup, packing, pages, spans, token_counts
 
 VOCABULARY = "byte_bpe_50k.json"
 WORDS = "word_bpe_49k.json"
@@ -91,3 +91,8 @@ def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def pack_documents(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = packing.load(spark, public_tokenizers.path(WORDS))
     return packing.pack(packing.pieces(_table(spark, folder, "documents"), tokenizer))
+
+
+@_query("op13_bloom_ranking", bloom_rank.SQL)
+def rank_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return bloom_rank.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
