@@ -62,6 +62,24 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
+def coded(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Where each row's values begin (and the last ends), a code for every value, and the distinct values by code."""
+    offsets = lists.offsets.to_numpy().astype(np.int64)
+    values = lists.flatten().dictionary_encode()
+    return offsets - offsets[0], values.indices.to_numpy(zero_copy_only=False).astype(np.int64), values.dictionary.to_pylist()
+
+
+def spelt_out(parts: Sequence[bytes], codes: np.ndarray, kind=np.uint32) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers packed in ``parts``, in the order of ``codes``, and where those of each code begin (and the last end)."""
+    numbers = np.frombuffer(b"".join(parts), kind)
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // np.dtype(kind).itemsize
+    own = sizes[codes]
+    ends = np.cumsum(own)
+    starts = (np.cumsum(sizes) - sizes)[codes]
+    total = int(ends[-1]) if len(ends) else 0
+    return numbers[np.repeat(starts - (ends - own), own) + np.arange(total)], np.concatenate([np.zeros(1, np.int64), ends])
+
+
 def schema_with(df: DataFrame, without: Sequence[str], more: str) -> str:
     """The columns of ``df`` but some, and more, as a schema string."""
     held = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name not in without]

@@ -9,6 +9,7 @@ pieces one by one in this order gives. Each piece then finds its place from its
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from array import array
@@ -18,18 +19,72 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import claim, kept, on_executors, sliced
+from tabloom.llm.bpe import byte_symbols
+from tabloom.llm.common import claim, coded, kept, on_executors, sliced, spelt_out
 
 CAPACITY = 4096
 #: Encoded words a Python worker keeps, in each of two generations.
-MEMO = 400_000
+MEMO = 300_000
 _MADE = ("piece", "start", "length", "ids_crc32", "ids", "sequence_id", "offset")
 
 
+#: Fixed: how this vocabulary splits normalised text into words; white space goes.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Stands for the end of a word; text that holds it, or anything above U+02FF, goes to the library.
+_END = "\U0010ffff"
+
+
+class Ranked:
+    """Ids of plain words by ranks: merges in their order are the ranks of what they make, the mark of a word's end is
+    merged to its last byte first. Plain words are printable, below U+0300, where lower case and splitting by classes
+    of characters need no tables of a certain Unicode version and normalisation changes nothing.
+    """
+
+    def __init__(self, model: dict):
+        import tiktoken
+
+        symbols, mark, known = byte_symbols(), _END.encode(), model["vocab"]
+        label = lambda t: bytes(symbols[c] for c in t.removesuffix("</w>")) + (mark if t.endswith("</w>") else b"")
+        singles = [bytes([b]) for b in range(256)]
+        order = [*singles, mark[:2], mark[:3], mark, *[b + mark for b in singles]]
+        names = {b: c for c, b in symbols.items()}
+        self.ids = [known[names[b]] for b in range(256)] + [0, 0, 0] + [known[names[b] + "</w>"] for b in range(256)]
+        for merge in model["merges"]:
+            made = "".join(merge if isinstance(merge, list) else merge.split(" "))
+            order.append(label(made))
+            self.ids.append(known[made])
+        if len(set(order)) != len(order):
+            raise ValueError("a token is made twice")
+        self.ids = np.array(self.ids, np.uint32)
+        self.lengths = np.array([len(x) for x in order], np.int64)
+        self.encoding = tiktoken.Encoding("words", pat_str=f"[^{_END}]+{_END}", mergeable_ranks={x: i for i, x in enumerate(order)}, special_tokens={})
+        self.split = regex.compile(SPLIT)
+
+    def encode(self, words: list[str], into: dict[str, bytes]) -> list[str]:
+        """Ids of the plain words go into a table; the other words come back."""
+        plain, texts, other = [], [], []
+        for w in words:
+            if not w or len(w) > 300 or max(w) >= "\u0300" or not w.isprintable() or "<|" in w:
+                other.append(w)
+                continue
+            text = w.lower()
+            plain.append(w)
+            texts.append(text + _END if text.isascii() and text.isalpha() else "".join(x + _END for x in self.split.findall(text)))
+        if plain:
+            ranks = np.array(self.encoding.encode_ordinary("".join(texts)), np.int64)
+            ends = np.cumsum(self.lengths[ranks])
+            cuts = np.searchsorted(ends, np.cumsum([len(t.encode()) for t in texts]), "right").tolist()
+            ids = self.ids[ranks].tobytes()
+            into.update((w, ids[4 * i:4 * j]) for w, i, j in zip(plain, [0, *cuts], cuts))
+        return other
+
+
 class WordIds:
     """Token ids of texts by the ``tokenizers`` library, for vocabularies that drop white space.
 
@@ -44,23 +99,28 @@ class WordIds:
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.ranked = Ranked(json.loads(spec)["model"])
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids as little-endian unsigned 32-bit numbers; null encodes like empty text."""
-        words = [t.encode().split() if t else [] for t in texts]
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and where those of each text begin (and the last end); null encodes like empty text."""
+        offsets, codes, words = coded(pc.ascii_split_whitespace(texts.fill_null("")))
         young, old = self.young, self.old
-        new = set().union(*words).difference(young)
-        for w in new.intersection(old):
-            young[w] = old[w]
-        ask = list(new.difference(old))
-        for w, e in zip(ask, self.tokenizer.encode_batch_fast([w.decode() for w in ask], add_special_tokens=False)):
+        ask = []
+        for w in words:
+            if w not in young:
+                if w in old:
+                    young[w] = old[w]
+                else:
+                    ask.append(w)
+        other = self.ranked.encode(ask, young)
+        for w, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
             young[w] = array("I", e.ids).tobytes()
-        out = [b"".join(map(young.__getitem__, ws)) for ws in words]
+        ids, ends = spelt_out([young[w] for w in words], codes)
         if len(young) > MEMO:
             self.young, self.old = {}, young
-        return out
+        return ids, ends[offsets]
 
 
 _WORKER: dict[str, WordIds] = {}
@@ -90,18 +150,19 @@ def pieces(docs: DataFrame, tokenizer, capacity: int = CAPACITY, end: int = 1, k
     if key in _MADE:
         raise ValueError(f"the key cannot be named {key!r}")
     name, spec = tokenizer
-    last = array("I", [end]).tobytes()
+    last = np.array([end], np.uint32)
     kind = docs.schema[key].dataType.simpleString()
     names = [key, "piece", "start", "length", "ids_crc32", "_part", "_at", *(["ids"] if keep_ids else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, at = _word_ids(name, spec), TaskContext.get().partitionId(), 0
-        for batch in sliced(batches):
+        for batch in sliced(batches, 1024):
             rows, found = [], []
-            for row, ids in enumerate(encoder.encode(batch.column(1).to_pylist())):
-                ids += last
-                for piece, start in enumerate(range(0, len(ids) // 4, capacity)):
-                    own = ids[4 * start:4 * (start + capacity)]
+            ids, cuts = encoder.encode(batch.column(1))
+            for row, (low, high) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
+                whole = np.concatenate([ids[low:high], last]).tobytes()
+                for piece, start in enumerate(range(0, len(whole) // 4, capacity)):
+                    own = whole[4 * start:4 * (start + capacity)]
                     rows.append(row)
                     found.append((piece, start, len(own) // 4, zlib.crc32(own), part, at, own))
                     at += 1
