@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import ball_tree, bloom_rank, bpe, cross_polytope, language, lines, mixing, near_dup, packing, pages, spans, token_counts
+from tabloom.llm import alignment, ball_tree, bloom_rank, bpe, cross_polytope, language, lines, mixing, near_dup, packing, pages, spans, token_counts
 
 VOCABULARY = "byte_bpe_50k.json"
 WORDS = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -96,3 +97,9 @@ def pack_documents(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op13_bloom_ranking", bloom_rank.SQL)
 def rank_documents(spark: SparkSession, folder: str) -> DataFrame:
     return bloom_rank.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+@_query("op11_token_alignment")
+def align_tokenizers(spark: SparkSession, folder: str) -> DataFrame:
+    files = alignment.load(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.path(PIECES))
+    return alignment.align(_table(spark, folder, "documents"), files)
