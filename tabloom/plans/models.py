@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabloom.operators.base import Fitted, append_columns
+from tabloom.operators.ordered import OrderedTargetEncoder
 from tabloom.operators.stats import quoted, value
+from tabloom.plans.boosting import Booster, BoostSettings
 from tabloom.sources.results import load_model_config, save_model_config
 
 BOOSTERS = ("xgboost", "lightgbm", "catboost")
@@ -71,21 +73,43 @@ MODEL_DEFAULTS = {
     "elasticnet": {"alpha": 1.0, "l1_ratio": 0.5, "max_iter": 1000, "C": 1.0},
     "logistic": {"C": 1.0, "penalty": "l2", "max_iter": 1000},
 }
+# With engine="histogram" the boosters are those of plans/boosting.py: fixed values, how each of them grows its trees,
+# and its starting penalties.
+HISTOGRAM = {
+    "xgboost": {"growth": "level", "reg_lambda": 1.0, "min_child_weight": 1.0},
+    "lightgbm": {"growth": "leaf", "num_leaves": 31, "reg_lambda": 0.0, "min_child_weight": 0.001, "min_child_samples": 20},
+    "catboost": {"growth": "symmetric", "reg_lambda": 3.0, "min_child_weight": 0.0},
+}
+HISTOGRAM_KNOWN = {
+    "engine", "growth", "num_leaves", "reg_lambda", "reg_alpha", "gamma", "min_child_weight", "min_child_samples",
+    "top_rate", "other_rate", "cat_features", "key",
+}
 # Settings each kind of model understands beside its starting ones. Penalties on leaves, leaf counts, minimal child
-# weights and the like (reg_lambda, reg_alpha, gamma, num_leaves, min_child_weight, l2_leaf_reg) have no form in Spark
-# ML's trees and are refused rather than ignored.
+# weights and the like have no form in Spark ML's trees, the default engine: they are refused rather than ignored.
 KNOWN = {
     **dict.fromkeys(BOOSTERS, {"n_estimators", "max_depth", "learning_rate", "subsample", "colsample_bytree", "early_stopping_rounds", "max_bins"}),
     **dict.fromkeys(("linear", "ridge", "lasso", "elasticnet", "logistic"), {"alpha", "l1_ratio", "max_iter", "C", "fit_intercept", "penalty"}),
 }
-ALIASES = {"iterations": "n_estimators", "num_boost_round": "n_estimators", "num_trees": "n_estimators", "depth": "max_depth"}
+ALIASES = {
+    "iterations": "n_estimators", "num_boost_round": "n_estimators", "num_trees": "n_estimators", "depth": "max_depth",
+    "l2_leaf_reg": "reg_lambda", "lambda_l2": "reg_lambda", "lambda_l1": "reg_alpha", "min_split_gain": "gamma",
+    "min_data_in_leaf": "min_child_samples",
+}
 
 
-def _settings(model_type: str, params: dict) -> dict:
+def _settings(model_type: str, params: dict, engine: str | None = None) -> dict:
     """Aliases resolved; a setting that would be ignored is an error."""
     named = {ALIASES.get(k, k): v for k, v in params.items()}
-    if model_type in KNOWN and (unknown := set(named) - KNOWN[model_type]):
-        raise ValueError(f"{model_type} has no such settings here: {sorted(unknown)}")
+    engine = named.get("engine", engine)
+    if engine not in (None, "spark", "histogram"):
+        raise ValueError(f"unknown engine: {engine}")
+    if model_type in KNOWN:
+        known = KNOWN[model_type] | ({"engine"} if model_type in BOOSTERS else set())
+        if model_type in BOOSTERS and engine == "histogram":
+            known = known | HISTOGRAM_KNOWN
+        if unknown := set(named) - known:
+            hint = ", but with engine='histogram'" if model_type in BOOSTERS and unknown <= HISTOGRAM_KNOWN else ""
+            raise ValueError(f"{model_type} has no such settings here{hint}: {sorted(unknown)}")
     return named
 
 
@@ -95,7 +119,9 @@ def model_config(model_type: str, target_type: str = "regression", name: str | N
         raise ValueError(f"unknown model: {model_type}")
     if model_type == "logistic":
         target_type = "classification"
-    return ModelConfig(name or model_type, model_type, {**MODEL_DEFAULTS[model_type], **_settings(model_type, params)}, target_type)
+    named = _settings(model_type, params)
+    own = HISTOGRAM[model_type] if named.get("engine") == "histogram" else {}
+    return ModelConfig(name or model_type, model_type, {**MODEL_DEFAULTS[model_type], **own, **named}, target_type)
 
 
 class ScaledInputs(Fitted):
@@ -108,11 +134,19 @@ class ScaledInputs(Fitted):
         })
 
 
+class Copied(Fitted):
+    """Appends ``__c_<column>``, a copy that later stages may replace."""
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return append_columns(df, {f"__c_{c}": quoted(c) for c in self.fitted["columns"]})
+
+
 class OneAgainstRest(Fitted):
     """``__probability`` and ``__prediction`` from a booster for each class."""
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        own = [vector_to_array(f"__probability_{c}")[1] for c in range(self.fitted["classes"])]
+        names = [f"__probability_{c}" for c in range(self.fitted["classes"])]
+        own = [(F.col(n) if isinstance(df.schema[n].dataType, T.ArrayType) else vector_to_array(n))[1] for n in names]
         scored = df.withColumn("__own", F.array(*own))
         total = F.aggregate("__own", F.lit(0.0), lambda a, x: a + x)
         scored = scored.withColumn("__probability", F.transform("__own", lambda x: x / total))
@@ -155,7 +189,7 @@ class TabularModel:
         return dict(self.config.params)
 
     def set_params(self, **params) -> "TabularModel":
-        self.config.params.update(_settings(self.config.model_type, params))
+        self.config.params.update(_settings(self.config.model_type, params, self.config.params.get("engine")))
         return self
 
     def copy(self, name: str | None = None) -> "TabularModel":
@@ -166,6 +200,9 @@ class TabularModel:
 
     def fit(self, df: DataFrame, features: Sequence[str], label: str, validation: DataFrame | None = None) -> "TabularModel":
         self.features = list(features)
+        if self.config.model_type in BOOSTERS and self.config.params.get("engine") == "histogram":
+            self.model = self._fit_histogram(df, label, validation)
+            return self
         used = [*self.features, label]
         train = df.select(*[value(df, c).cast("double").alias(c) for c in used]).dropna(subset=[label])
         if self.config.model_type in BOOSTERS:
@@ -231,6 +268,42 @@ class TabularModel:
                 return model if best + 1 == tried else estimator.setMaxIter(best + 1).fit(train)
             tried = min(rounds, 2 * tried)
 
+    def _fit_histogram(self, df: DataFrame, label: str, validation: DataFrame | None) -> PipelineModel:
+        """Boosters of plans/boosting.py. ``cat_features`` become ordered target statistics along a hash of ``key``."""
+        p = self.config.params
+        names = {f for f in BoostSettings.__dataclass_fields__} & set(p)
+        settings = {n: p[n] for n in names} | {"max_bins": int(p.get("max_bins", 255)), "seed": self.config.random_state}
+        settings["objective"] = "logistic" if self.classifies else "squared"
+        cats, key = list(p.get("cat_features") or []), p.get("key")
+        inputs = [f"__c_{c}" if c in cats else c for c in self.features]
+        train, held, before = df.dropna(subset=[label]), None, []
+        if cats:
+            copied = Copied(columns=cats)
+            train = copied.transform(train)
+            encoder = OrderedTargetEncoder(columns=[f"__c_{c}" for c in cats], label=label, key=key, seed=self.config.random_state).fit(train)
+            before = [copied, encoder]
+            train = encoder.encode_fitted(train)
+        if validation is not None and p.get("early_stopping_rounds"):
+            held = PipelineModel(before).transform(validation.dropna(subset=[label]))
+            held = held.select(*[value(held, c).cast("double").alias(c) for c in [*inputs, label]]).dropna(subset=[label])
+        train = train.select(*[value(train, c).cast("double").alias(c) for c in [*inputs, label]]).dropna(subset=[label])
+        classes = int(train.agg(F.max(label)).first()[0] or 0) + 1 if self.classifies else 2
+        if classes <= 2:
+            return PipelineModel([*before, self._boosted(train, held, inputs, label, settings)])
+        boosters = []
+        for c in range(classes):
+            own = F.when(quoted(label) == c, 1.0).otherwise(0.0)
+            parts = [None if t is None else t.withColumn(label, own) for t in (train, held)]
+            boosters.append(self._boosted(*parts, inputs, label, settings).named(f"_{c}"))
+        return PipelineModel([*before, *boosters, OneAgainstRest(classes=classes)])
+
+    def _boosted(self, train: DataFrame, held: DataFrame | None, inputs: Sequence[str], label: str, settings: dict):
+        booster = Booster(train, inputs, label, BoostSettings(**settings), held)
+        try:
+            return booster.fit()
+        finally:
+            booster.close()
+
     def _fit_linear(self, train: DataFrame, label: str) -> PipelineModel:
         stats = [F.count(F.lit(1)), F.stddev_pop(label)]
         for c in self.features:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tabloom.operators.encode import CategoricalEncoder, out_of_fold_target
 from tabloom.operators.impute import Imputer
+from tabloom.operators.ordered import ordered_means
 from tabloom.operators.outliers import OutlierClipper
 from tabloom.operators.scale import Scaler
 from tabloom.operators.select import FeatureSelector
@@ -260,3 +261,16 @@ def select_correlation_topk(spark, folder):
     return spark.createDataFrame([(c, scored[c]) for c in chosen], "feature string, r double").select(
         "feature", rnd("r", 6).alias("r")
     )
+
+
+@query("encode_ordered", f"""
+    WITH {GAPPY}, rows AS (SELECT o_orderkey, coalesce(g, 'missing') AS g, x, {sql_hash('o_orderkey')} AS h FROM gappy),
+    base AS (SELECT avg(x) AS m FROM rows)
+    SELECT o_orderkey, {sql_rnd('(coalesce(sum(x) OVER w, 0) + 2 * m) / (count(x) OVER w + 2)', 3)} AS g
+    FROM rows, base WINDOW w AS (PARTITION BY g ORDER BY h, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
+def ordered_target_means(spark, folder):
+    """Ordered target statistics of the fitted rows, in ranges of 2,000 rows."""
+    rows = gappy_orders(spark, folder)
+    prior = rows.agg(F.avg("x")).first()[0]
+    made = ordered_means(rows, ["g"], "x", KEY, prior, weight=2.0, range_rows=2_000)
+    return made.select(KEY, rnd("g_ordered", 3).alias("g"))

@@ -277,3 +277,57 @@ def whole_flow(spark, folder):
     flow = Workflow("o_totalprice", KEY, models=[model_by_name("ridge"), model_by_name("catboost", **SMALL)]).fit(rows)
     paths = flow.write(rows, scratch_path(spark, "workflow"))
     return spark.read.option("header", True).schema(f"{KEY} bigint, o_totalprice double").csv(paths["ensemble"])
+
+
+# Boosters on histograms. One round on two flags has a closed form: the mean, and for each leaf a step of its gradients.
+
+_STEP = "0.3::DOUBLE * sign(g) * greatest(abs(g) - 40.0, 0) / (n + 25.0)"
+
+
+@query("model_newton_penalties", f"""
+    WITH {FLAGS}, base AS (SELECT avg(y) AS m FROM flags WHERE NOT held),
+    leaf AS (SELECT a, b, sum(y - m) AS g, count(*) AS n FROM flags, base WHERE NOT held GROUP BY a, b)
+    SELECT o_orderkey, {sql_rnd(f"m + {_STEP}", 3)} AS p FROM flags JOIN leaf USING (a, b), base""")
+def penalised_tree(spark, folder):
+    rows = flag_rows(spark, folder)
+    model = model_by_name("xgboost", engine="histogram", n_estimators=1, max_depth=2, learning_rate=0.3, reg_lambda=25.0, reg_alpha=40.0, **WHOLE)
+    model.fit(rows.filter("not held"), ["a", "b"], "y")
+    return model.predict(rows, "p").select(KEY, rnd("p", 3).alias("p"))
+
+
+@query("model_leafwise", f"""
+    WITH {FLAGS}, base AS (SELECT avg(y) AS m FROM flags WHERE NOT held),
+    leaf AS (SELECT a, sum(y - m) AS g, count(*) AS n FROM flags, base WHERE NOT held GROUP BY a)
+    SELECT o_orderkey, {sql_rnd("m + 0.5::DOUBLE * g / (n + 2.0)", 3)} AS p FROM flags JOIN leaf USING (a), base""")
+def leafwise_tree(spark, folder):
+    """Two leaves: the flag with the higher gain is split, the other one is not."""
+    rows = flag_rows(spark, folder)
+    model = model_by_name("lightgbm", engine="histogram", n_estimators=1, num_leaves=2, learning_rate=0.5, lambda_l2=2.0, **WHOLE)
+    model.fit(rows.filter("not held"), ["b", "a"], "y")
+    return model.predict(rows, "p").select(KEY, rnd("p", 3).alias("p"))
+
+
+@query("model_symmetric", f"""
+    WITH {FLAGS}, base AS (SELECT ln(avg(flag) / (1 - avg(flag))) AS m, avg(flag) AS q FROM flags WHERE NOT held),
+    leaf AS (SELECT a, b, sum(q - flag) / (sum(q * (1 - q)) + 3.0) AS step FROM flags, base WHERE NOT held GROUP BY a, b)
+    SELECT o_orderkey, {sql_rnd("1 / (1 + exp(-(m - 0.1::DOUBLE * step)))")} AS p FROM flags JOIN leaf USING (a, b), base""")
+def symmetric_tree(spark, folder):
+    """One Newton step on the log loss in each of the four leaves of a symmetric tree."""
+    rows = flag_rows(spark, folder)
+    model = model_by_name("catboost", "classification", engine="histogram", n_estimators=1, max_depth=2)
+    model.fit(rows.filter("not held"), ["a", "b"], "flag")
+    return model.score_column(rows, "p").select(KEY, rnd("p").alias("p"))
+
+
+@query("gbt_patience")
+def boosting_with_patience(spark, folder):
+    """All orders, real columns and a category, default rounds and patience on held rows."""
+    rows = table(spark, folder, "orders").select(
+        KEY, "o_orderpriority", (F.col("o_custkey") % 97).cast("double").alias("c"), F.dayofyear("o_orderdate").cast("double").alias("day"),
+        (F.sin(F.dayofyear("o_orderdate") / 58.0) * 10 + (F.col("o_custkey") % 97) / 10.0 + F.col("o_totalprice") / 100000).alias("y"),
+        is_validation(KEY).alias("held"),
+    )
+    model = model_by_name("catboost", engine="histogram", cat_features=["o_orderpriority"], key=KEY)
+    model.fit(rows.filter("not held"), ["c", "day", "o_orderpriority"], "y", rows.filter("held"))
+    trees = model.model.stages[-1].getNumTrees
+    return model.predict(rows, "p").select(KEY, "held", "y", "p", F.lit(trees).alias("n_trees"))
