@@ -34,7 +34,7 @@ from tabloom.llm.common import claim, coded, kept, on_executors, sliced, spelt_o
 #: Bytes of text of a fragment; longer texts are cut into several.
 RANGE = 1 << 16
 #: Segments a Python worker remembers, in each of two generations.
-MEMO = 150_000
+MEMO = 250_000
 #: Distinct linked id pairs whose counts every executor may hold (16 bytes each); more are joined by a shuffle.
 MAX_PAIRS = 4_000_000
 #: Fragments composed at once in a round.
@@ -42,6 +42,8 @@ FAN = 16
 #: Letters and digits below this are classed alike by all versions of the splitting pattern; other text goes to the library.
 _OLD_CHARS = "԰"
 _U64 = np.uint64
+#: White space at the start or the end of a piece, or an empty piece.
+_BLANK = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\p{Z}]"
 
 
 def segments(text: str) -> list[str]:
@@ -70,8 +72,9 @@ def split_texts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     texts = texts.fill_null("")
     offsets, codes, chunks = coded(pc.split_pattern(texts, " "))
     names = [" " + c for c in chunks]
-    opens = np.array([bool(c) and not c[0].isspace() for c in chunks], bool)
-    closes = np.array([bool(c) and not c[-1].isspace() for c in chunks], bool)
+    held = pa.array(chunks, pa.string())
+    opens = ~pc.match_substring_regex(held, f"^({_BLANK}|$)").to_numpy(zero_copy_only=False)
+    closes = ~pc.match_substring_regex(held, f"(^|{_BLANK})$").to_numpy(zero_copy_only=False)
     fine = np.ones(len(codes), bool)
     fine[1:] = opens[codes[1:]] & closes[codes[:-1]]
     fine[offsets[:-1]] = opens[codes[offsets[:-1]]] | (np.diff(offsets) > 1)  # a text starts anywhere, but is not empty
@@ -224,51 +227,67 @@ class Pair:
             import public_tokenizers
 
             self.ranks = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks={x: i for i, x in labels.items() if i <= order[-1]}, special_tokens={})
+        #: How a token is written: followed by a comma, or by what ends its side of the group.
+        self.spelling = [b"%d%c" % (i, end) for i in range(len(self.a_labels)) for end in b",|"]
+        self.spelling += [b"%d%c" % (i, end) for i in range(len(self.b_labels)) for end in b",;"]
         self.young: dict[str, tuple] = {}
         self.old: dict[str, tuple] = {}
 
     def _plain(self, segment: str) -> bool:
         """Whether it may be encoded in a row with others, by ranks."""
-        return self.ranks is not None and len(segment) < 500 and max(segment) < _OLD_CHARS and len(segment) > 1 and not segment[1].isspace() and not segment[-1].isspace()
-
-    def a_tokens(self, some: list[str]) -> np.ndarray:
-        """Ids of A of all these segments, one after the other."""
-        if all(map(self._plain, some)):
-            return np.array(self.ranks.encode_ordinary("".join(some)), np.int64)
-        found = self.a.encode_batch_fast(some, add_special_tokens=False)
-        return np.array(list(itertools.chain.from_iterable(e.ids for e in found)), np.int64)
-
-    def tokens(self, some: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bool]]:
-        """Ids and ends of A and B over all segments in a row, and which segments either of them does not spell."""
-        raw = [s.encode() for s in some]
-        a = self.a_tokens(some)
-        b = self.b.encode([s[1:] for s in some], num_threads=1)
-        spelt = [b"".join(map(self.b_labels.__getitem__, ids)) == r for ids, r in zip(b, raw)]
-        b = np.array(list(itertools.chain.from_iterable(b)), np.int64)
+        if self.ranks is None or len(segment) > 500 or not (segment.isascii() or max(segment) < _OLD_CHARS):
+            return False
+        return len(segment) > 1 and not segment[1].isspace() and not segment[-1].isspace()
+
+    def tokens(self, some: list[str], plain: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bool]]:
+        """Ids and ends of A and B over all segments in a row, where segments end, and which either of them does not spell."""
+        raw = "".join(some).encode()
+        if plain:
+            a = np.array(self.ranks.encode_ordinary("".join(some)), np.int64)
+        else:
+            found = self.a.encode_batch_fast(some, add_special_tokens=False)
+            a = np.array(list(itertools.chain.from_iterable(e.ids for e in found)), np.int64)
+        b = np.array(list(itertools.chain.from_iterable(self.b.encode([s[1:] for s in some], num_threads=1))), np.int64)
         a_ends, b_ends = np.cumsum(self.a_lengths[a]), np.cumsum(self.b_lengths[b])
-        if b"".join(map(self.a_labels.__getitem__, a.tolist())) != b"".join(raw):
-            if len(some) == 1:
-                spelt = [False]
-            else:  # which of them it is
-                spelt = [ok and not self.tokens([s])[4][0] for ok, s in zip(spelt, some)]
-        return a, a_ends, b, b_ends, [not ok for ok in spelt]
-
-    def _make(self, some: list[str]) -> None:
-        """Entries (n_a, n_b, n_groups, text, links) of new segments; None for those that are not spelt."""
-        a, a_ends, b, b_ends, bad = self.tokens(some)
+        stops = np.cumsum([len(s) if s.isascii() else len(s.encode()) for s in some])
+        bad = [False] * len(some)
+        for ids, ends, labels in ((a, a_ends, self.a_labels), (b, b_ends, self.b_labels)):
+            if b"".join(map(labels.__getitem__, ids.tolist())) != raw or not np.isin(stops, ends).all():
+                bad = [True] if len(some) == 1 else [self.tokens([s], False)[5][0] for s in some]
+                break
+        return a, a_ends, b, b_ends, stops, bad
+
+    def window(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bool]:
+        """Ids and ends of A and B over space + ``text``, and whether either does not spell it."""
+        some = segments(text)
+        *found, _, bad = self.tokens(some, all(map(self._plain, some)))
+        return *found, any(bad)
+
+    def _make(self, some: list[str], plain: bool) -> None:
+        """Entries (n_a, n_b, n_groups, tokens as places in ``spelling``, links) of new segments; None if not spelt."""
+        a, a_ends, b, b_ends, stops, bad = self.tokens(some, plain)
         if any(bad):
             self.young.update((s, None) for s, x in zip(some, bad) if x)
             some = [s for s, x in zip(some, bad) if not x]
             if not some:
                 return
-            a, a_ends, b, b_ends, bad = self.tokens(some)
-        stops = np.cumsum([len(s.encode()) for s in some])
+            a, a_ends, b, b_ends, stops, bad = self.tokens(some, plain)
         links, ends = link_pairs(a, a_ends, b, b_ends)
         common = common_ends(a_ends, b_ends)
-        texts = group_texts(a, a_ends, b, b_ends, common)
-        cuts = [[0, *np.searchsorted(x, stops, "right").tolist()] for x in (a_ends, b_ends, common, ends)]
-        for s, a0, a1, b0, b1, g0, g1, l0, l1 in zip(some, *[x for c in cuts for x in (c, c[1:])]):
-            self.young[s] = a1 - a0, b1 - b0, g1 - g0, ";".join(texts[g0:g1]), links[l0:l1].tobytes()
+        a_cut, b_cut = np.searchsorted(a_ends, common, "right"), np.searchsorted(b_ends, common, "right")
+        # tokens in the order of writing: the A side of a group, then its B side
+        order = np.zeros(len(a) + len(b), np.uint32)
+        a_last, b_last = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        a_last[a_cut - 1] = b_last[b_cut - 1] = 1
+        a_size, b_size = np.diff(a_cut, prepend=0), np.diff(b_cut, prepend=0)
+        order[np.arange(len(a)) + np.repeat(b_cut - b_size, a_size)] = 2 * a + a_last
+        order[np.arange(len(b)) + np.repeat(a_cut, b_size)] = 2 * (len(self.a_labels) + b) + b_last
+        written, linked = order.tobytes(), links.tobytes()
+        cuts = [np.searchsorted(x, stops, "right") for x in (a_ends, b_ends, common, ends)]
+        sizes = [np.diff(c, prepend=0).tolist() for c in cuts[:3]]
+        tokens, joins = [0, *(4 * (cuts[0] + cuts[1])).tolist()], [0, *(8 * cuts[3]).tolist()]
+        for s, n, m, g, t0, t1, l0, l1 in zip(some, *sizes, tokens, tokens[1:], joins, joins[1:]):
+            self.young[s] = n, m, g, written[t0:t1], linked[l0:l1]
 
     def remember(self, names: list[str]) -> list[tuple | None]:
         """Entries of these segments."""
@@ -282,10 +301,14 @@ class Pair:
                     young[s] = old[s]
                 else:
                     ask.append(s)
-        plain = [self._plain(s) for s in ask]
-        for some in ([s for s, x in zip(ask, plain) if x], [s for s, x in zip(ask, plain) if not x]):
-            if some:
-                self._make(some)
+        plain: list[str] = []
+        other: list[str] = []
+        for s in ask:
+            (plain if self._plain(s) else other).append(s)
+        if plain:
+            self._make(plain, True)
+        if other:
+            self._make(other, False)
         return [young[s] for s in names]
 
 
@@ -364,7 +387,7 @@ def _short_rows(docs: DataFrame, files, table, key: str) -> DataFrame:
             offsets, codes, names = split_texts(batch.column(1))
             entries = pair.remember(names)
             spelt = np.array([e is not None for e in entries], bool)
-            entries = [e or (0, 0, 0, "", b"") for e in entries]
+            entries = [e or (0, 0, 0, b"", b"") for e in entries]
             whole = (_sums(~spelt[codes], offsets) == 0) & (np.diff(offsets) > 0)
             sizes = np.array([e[:3] for e in entries], np.int64).reshape(-1, 3)
             links, cuts = spelt_out([e[4] for e in entries], np.arange(len(entries)), np.int64)
@@ -372,9 +395,11 @@ def _short_rows(docs: DataFrame, files, table, key: str) -> DataFrame:
             found = np.where(pairs[at] == links, counts[at], 0)  # 0: only in texts that are not spelt
             hit = (found > 0) & (found == best[np.minimum(links & 0xFFFFFFFF, len(best) - 1)])
             a, b, g, n_best, total = (np.where(whole, _sums(x[codes], offsets), 0) for x in (*sizes.T, _sums(hit, cuts), _sums(found, cuts)))
-            texts = [e[3] for e in entries]
+            written, breaks = spelt_out([e[3] for e in entries], np.arange(len(entries)))
+            parts, breaks = list(map(pair.spelling.__getitem__, written.tolist())), breaks.tolist()
+            texts = [b"".join(parts[i:j]) for i, j in zip(breaks, breaks[1:])]
             digests = [
-                hashlib.sha256(";".join([texts[c] for c in codes[i:j].tolist()]).encode()).hexdigest() if ok else ""
+                hashlib.sha256(b"".join([texts[c] for c in codes[i:j].tolist()])[:-1]).hexdigest() if ok else ""
                 for ok, i, j in zip(whole.tolist(), offsets[:-1].tolist(), offsets[1:].tolist())
             ]
             columns = [pa.array(x, pa.int64()) for x in (a, b, g, a + b - g, n_best, total)]
@@ -462,9 +487,9 @@ def _fragments(ranges: DataFrame, files) -> DataFrame:
         pair = _pair(name, held)
         for batch in sliced(batches, 16):
             for r in batch.to_pylist():
-                a, a_ends, b, b_ends, bad = pair.tokens(segments(r["window"][1:]))
+                a, a_ends, b, b_ends, bad = pair.window(r["window"][1:])
                 f, links = Fragment(closed=True, bad=True), np.zeros(0, _U64)
-                if not any(bad):
+                if not bad:
                     f, links = fragment(a, a_ends + r["first"], b, b_ends + r["first"], r["low"], r["high"], r["first"])
                 made = _batch([_row(r["_part"], r["_at"], r["k"], f)])
                 yield pa.RecordBatch.from_arrays([*made.columns, pa.array([links.tobytes()], pa.binary())], [*_NAMES, "links"])
