@@ -4,13 +4,15 @@ Compiling. The automaton has a start and a state for each token, entered by the
 with the single bytes, every one of which may follow every other. Merges are added in order; merging ``a b`` into ``c``
 is a gadget: the arc from ``a`` to ``b`` goes, ``c`` gets the arcs that led to ``a``, and the arcs that left ``b``. So
 whether an arc ``s -> t`` stands in the end follows by taking gadgets off again, the younger of the two tokens first:
-what the last part of ``s`` or the first part of ``t`` had then, unless a merge of the two came between. With 50,000
-tokens the full arc table would have 2.5 billion cells; a cell is filled when a text first asks for it.
+what the last part of ``s`` or the first part of ``t`` had then, unless a merge of the two came between.
 
-Encoding. Every path through the automaton is the encoding of its labels, and each string has one path. The arcs of a
-state are tried by the bytes of the word: a second table, byte by byte, leads to the longest label that comes next, and
-each label names the longest shorter one. As the path to a place in the word is unique, a place from which no arc leads
-on is never tried again, and a word takes time in proportion to its length.
+Byte by byte an arc is the path of its label's bytes, and the automaton is made deterministic by sets: a state is the
+set of all (token, bytes begun after it) that agree with what was read. Every string has one path through the automaton,
+so a set holds one whole tokenization of what was read, its first member. With 50,000 tokens the full table of states
+by bytes would have billions of cells; a cell is filled when a text first asks for it.
+
+Encoding. Words of a batch are read side by side, one column of bytes after the other, by the table of (state, byte);
+ids are read off backwards: the token a state ends with says how far back the one before ends.
 
 Decoding. The labels of the arcs, one after the other.
 """
@@ -21,16 +23,24 @@ import json
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from tabloom.llm.common import claim, on_executors, schema_with, sliced
+from tabloom.llm.common import claim, coded, on_executors, schema_with, sliced, spelt_out
 
 #: Fixed: how this vocabulary splits text into words.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Entries of the tables that are filled while encoding, per Python worker; full tables start again empty.
-MEMO = 150_000
+#: Pieces of text a Python worker remembers, in each of two generations.
+MEMO = 250_000
+#: States of the table; a full one starts again empty.
+STATES = 250_000
+#: Words read side by side, and the bytes above which a word is read on its own.
+WORDS, LONG = 20_000, 64
+#: White space at the start or the end of a piece.
+_BLANK = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\p{Z}]"
 _ALWAYS = 1 << 60
 
 
@@ -77,115 +87,220 @@ class Tables:
 
 
 class Automaton:
-    """Encoder of one Python worker, with the tables it has filled so far."""
+    """Encoder of one Python worker, with the table it has filled so far."""
 
     def __init__(self, tables: Tables):
         self.tables = tables
-        self.arcs: dict[int, bool] = {}
-        self.sizes = {t: len(tables.labels[t]) for t in tables.born}
+        self.sizes = np.zeros(max(tables.labels) + 1, np.int64)
         self.steps: dict[int, int] = {}  # node << 8 | byte -> node of the labels' bytes; 0 is the root
         self.token: list[int] = [-1]  # of a node, or -1
-        self.shorter: dict[int, int] = {}
-        for t in sorted(tables.born, key=self.sizes.get):
-            node, inner = 0, -1
+        for t in tables.born:
+            node = 0
             for byte in tables.labels[t]:
                 node = self.steps.setdefault(node << 8 | byte, len(self.token))
                 if node == len(self.token):
                     self.token.append(-1)
-                inner = self.token[node] if self.token[node] >= 0 else inner
-            self.token[node], self.shorter[t] = t, inner
+            self.token[node], self.sizes[t] = t, len(tables.labels[t])
+        self.begun = {k >> 8 for k in self.steps}  # nodes from which bytes lead on
         self.split = regex.compile(SPLIT)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(tables.special, key=len, reverse=True))) + ")") if tables.special else None
-        self.words = _Memo(self._word)
-        self.chunks = _Memo(self._chunk)
-
-    def _longest(self, raw: bytes, at: int) -> int:
-        steps, token, node, found = self.steps, self.token, 0, -1
-        for byte in raw[at:at + 256]:
-            node = steps.get(node << 8 | byte, -1)
-            if node < 0:
-                break
-            if token[node] >= 0:
-                found = token[node]
-        return found
-
-    def _stands(self, key: int) -> bool:
-        if len(self.arcs) >= MEMO:
-            self.arcs.clear()
-        self.arcs[key] = stands = self.tables.arc(key >> 32, key & 0xFFFFFFFF)
-        return stands
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self._empty()
 
-    def _word(self, word: str) -> bytes:
-        """Token ids of a pre-split word, packed."""
-        raw, arcs, sizes, shorter = word.encode(), self.arcs, self.sizes, self.shorter
-        path, at, state, dead = [], 0, -1, set()
-        token, size = self._longest(raw, 0), len(raw)
-        while at < size:
-            if token < 0:  # no arc leads on from here
-                dead.add(at)
-                last = path.pop()
-                at -= sizes[last]
-                state, token = path[-1] if path else -1, shorter[last]
+    # the table
+
+    def _empty(self) -> None:
+        self.sets: list[tuple[int, ...]] = []  # members of a state: (token + 1) << 32 | node, the whole tokenization first
+        self.number: dict[tuple[int, ...], int] = {}
+        self.last = array("q")  # the token a state ends with
+        self.cells: dict[int, int] = {}  # state << 8 | byte -> state
+        self.arcs: dict[int, bool] = {}
+        self._state((0,))
+
+    def _state(self, members: tuple[int, ...]) -> int:
+        at = self.number.get(members)
+        if at is None:
+            at = self.number[members] = len(self.sets)
+            self.sets.append(members)
+            self.last.append((members[0] >> 32) - 1)
+        return at
+
+    def _fill(self, cell: int) -> int:
+        byte, steps, token, begun = cell & 255, self.steps, self.token, self.begun
+        whole, members = -1, []
+        for m in self.sets[cell >> 8]:
+            node = steps.get((m & 0xFFFFFFFF) << 8 | byte)
+            if node is None:
                 continue
-            end = at + sizes[token]
-            if end not in dead:
-                key = state << 32 | token
-                if state < 0 or (arcs[key] if key in arcs else self._stands(key)):
-                    path.append(token)
-                    at, state = end, token
-                    token = self._longest(raw, at) if at < size else -1
-                    continue
-            token = shorter[token]
-        return array("I", path).tobytes()
-
-    def _chunk(self, chunk: str) -> bytes | None:
-        """Ids of what stands between two spaces, with the space before it.
-
-        None if white space at its ends would share a word with that space: such texts are split as a whole.
-        """
-        if not chunk or chunk[0].isspace() or chunk[-1].isspace():
-            return None
-        if chunk.isascii() and chunk.isalpha():
-            return self._word(" " + chunk)
-        return b"".join(map(self._word, self.split.findall(" " + chunk)))
-
-    def _plain(self, text: str) -> bytes:
-        first, *rest = text.split(" ")
-        if first and not first[-1].isspace():
-            try:
-                return b"".join([*map(self.words.__getitem__, self.split.findall(first)), *map(self.chunks.__getitem__, rest)])
-            except TypeError:  # a None among them
-                pass
-        return b"".join(map(self.words.__getitem__, self.split.findall(text)))
+            t = token[node]
+            if t >= 0 and whole < 0:
+                key = m >> 32 << 32 | t
+                stands = self.arcs.get(key)
+                if stands is None:
+                    stands = self.arcs[key] = m < 1 << 32 or self.tables.arc((m >> 32) - 1, t)
+                if stands:
+                    whole = t
+            if node in begun:
+                members.append(m >> 32 << 32 | node)
+        if whole < 0:
+            raise ValueError(f"byte {byte} has no token")
+        self.cells[cell] = to = self._state((whole + 1 << 32, *members))
+        return to
+
+    def _words(self, words: list[bytes]) -> list[bytes]:
+        """Token ids of pre-split words, packed."""
+        if len(self.sets) > STATES:
+            self._empty()
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        starts = np.cumsum(lengths) - lengths
+        states = np.zeros(len(raw), np.int64)
+        order = np.argsort(-lengths, kind="stable")
+        long = int(np.count_nonzero(lengths > LONG))
+        get, fill = self.cells.get, self._fill
+        for w in order[:long].tolist():
+            state = 0
+            for at in range(starts[w], starts[w] + lengths[w]):
+                cell = state << 8 | int(raw[at])
+                state = get(cell, -1)
+                state = fill(cell) if state < 0 else state
+                states[at] = state
+        short, sizes = starts[order[long:]], lengths[order[long:]]
+        here = np.zeros(len(short), np.int64)
+        for column in range(int(sizes[0]) if len(sizes) else 0):
+            live = int(np.searchsorted(-sizes, -column))  # words with more bytes than this
+            at = short[:live] + column
+            cells, place = np.unique(here[:live] << 8 | raw[at], return_inverse=True)
+            to = [get(c, -1) for c in cells.tolist()]
+            here[:live] = np.array([fill(c) if t < 0 else t for c, t in zip(cells.tolist(), to)])[place]
+            states[at] = here[:live]
+        return self._read_off(starts, lengths, np.array(self.last)[states])
+
+    def _word(self, word: str) -> bytes:
+        return self._words([word.encode()])[0]
+
+    def _read_off(self, starts: np.ndarray, lengths: np.ndarray, last: np.ndarray) -> list[bytes]:
+        """Ids of each word, from the token that ends at each byte."""
+        word, end, backwards = np.arange(len(starts)), lengths.copy(), []
+        counts = np.zeros(len(starts), np.int64)
+        while len(word):
+            t = last[starts[word] + end - 1]
+            backwards.append((word, t))
+            counts[word] += 1
+            end = end - self.sizes[t]
+            word, end = word[end > 0], end[end > 0]
+        cuts = np.cumsum(counts)
+        ids = np.zeros(int(cuts[-1]) if len(cuts) else 0, np.uint32)
+        for back, (word, t) in enumerate(backwards):
+            ids[cuts[word] - 1 - back] = t
+        packed, ends = ids.tobytes(), (4 * cuts).tolist()
+        return [packed[i:j] for i, j in zip([0, *ends], ends)]
+
+    # texts
+
+    def _pieces(self, new: list[str]) -> None:
+        """Ids of new pieces of text are remembered."""
+        split = [[p] if p.isascii() and p[1:].isalpha() and (p[0] == " " or p[0].isalpha()) else self.split.findall(p) for p in new]
+        known = dict.fromkeys(w for own in split for w in own)
+        names = list(known)
+        for at in range(0, len(names), WORDS):
+            some = names[at:at + WORDS]
+            known.update(zip(some, self._words([w.encode() for w in some])))
+        for p, own in zip(new, split):
+            self.young[p] = known[own[0]] if len(own) == 1 else b"".join(map(known.__getitem__, own))
+
+    def _remembered(self, names: list[str]) -> list[bytes]:
+        if len(self.young) > MEMO:
+            self.young, self.old = {}, self.young
+        young, old, new = self.young, self.old, []
+        for p in names:
+            if p not in young:
+                if p in old:
+                    young[p] = old[p]
+                else:
+                    new.append(p)
+        if new:
+            self._pieces(new)
+        return [young[p] for p in names]
+
+    def _cut(self, text: str) -> list[str]:
+        """Pieces of a text, cut before spaces that stand between two characters that are no white space."""
+        out: list[str] = []
+        for chunk in text.split(" "):
+            if out and chunk and out[-1] and not chunk[0].isspace() and not out[-1][-1].isspace():
+                out.append(" " + chunk)
+            elif out:
+                out[-1] += " " + chunk
+            else:
+                out.append(chunk)
+        return [p for p in out if p]
+
+    def _special(self, text: str) -> bytes:
+        """Ids of a text in which names of special tokens stand: they are those tokens."""
+        special = self.tables.special
+        parts = [p for p in self.cut.split(text) if p]
+        return b"".join(array("I", [special[p]]).tobytes() if p in special else b"".join(self._remembered(self._cut(p))) for p in parts)
+
+    def _coded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Where each text's pieces begin (and the last end), a code for each piece, and ids by code."""
+        texts = texts.fill_null("")
+        offsets, codes, chunks = coded(pc.split_pattern(texts, " "))
+        held = pa.array(chunks, pa.string())
+        opens = ~pc.match_substring_regex(held, f"^({_BLANK}|$)").to_numpy(zero_copy_only=False)
+        closes = ~pc.match_substring_regex(held, f"(^|{_BLANK})$").to_numpy(zero_copy_only=False)
+        fine = np.ones(len(codes), bool)
+        fine[1:] = opens[codes[1:]] & closes[codes[:-1]]
+        fine[offsets[:-1]] = True  # a text starts anywhere
+        odd = set((np.searchsorted(offsets, np.flatnonzero(~fine), "right") - 1).tolist())
+        odd |= {r for r in np.flatnonzero(np.diff(offsets) == 1).tolist() if not chunks[codes[offsets[r]]]}  # empty texts
+        marked: set[int] = set()
+        for name in self.tables.special:
+            marked |= set(np.flatnonzero(pc.match_substring(texts, name).to_numpy(zero_copy_only=False)).tolist())
+        names = [*[" " + c for c in chunks], *chunks]
+        codes = codes.copy()
+        codes[offsets[:-1]] += len(chunks)  # no space before the first piece
+        more: dict[str, int] = {}  # pieces of texts with other white space
+        whole: list[bytes] = []
+        parts, at, sizes = [], 0, np.diff(offsets)
+        for row in sorted(odd | marked):
+            parts.append(codes[at:offsets[row]])
+            at, text = offsets[row + 1], texts[row].as_py()
+            if row in marked:
+                whole.append(self._special(text))
+                own = [-len(whole)]
+            else:
+                own = [more.setdefault(p, len(names) + len(more)) for p in self._cut(text)]
+            parts.append(np.array(own, np.int64))
+            sizes[row] = len(own)
+        codes = np.concatenate([*parts, codes[at:]]) if parts else codes
+        used, codes = np.unique(codes, return_inverse=True)
+        names += more
+        made = iter(self._remembered([names[i] for i in used.tolist() if i >= 0]))
+        ids = [next(made) if i >= 0 else whole[-i - 1] for i in used.tolist()]
+        return np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)]), codes, ids
+
+    def encode_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and where those of each text begin (and the last end). Null is like empty."""
+        offsets, codes, ids = self._coded(texts)
+        flat, ends = spelt_out(ids, codes)
+        return flat, ends[offsets]
+
+    def lengths(self, texts: pa.Array) -> np.ndarray:
+        """Number of tokens of each text; ids are not put together."""
+        offsets, codes, ids = self._coded(texts)
+        ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))[codes] // 4)])
+        return np.diff(ends[offsets])
 
     def encode(self, text: str) -> bytes:
         """Token ids as little-endian unsigned 32-bit numbers. Names of special tokens in the text are those tokens."""
-        if self.cut and any(t in text for t in self.tables.special):
-            pieces = self.cut.split(text)
-            special = self.tables.special
-            return b"".join(array("I", [special[p]]).tobytes() if p in special else self._plain(p) for p in pieces if p)
-        return self._plain(text) if text else b""
+        return self.encode_texts(pa.array([text], pa.string()))[0].tobytes()
 
 
 def decode_ids(tables: Tables, ids: bytes) -> str:
     return b"".join(map(tables.labels.__getitem__, memoryview(ids).cast("I"))).decode("utf-8", "replace")
 
 
-class _Memo(dict):
-    """Filled by ``make``. When full it starts again empty and takes from its former self what is asked for once more."""
-
-    def __init__(self, make):
-        self.make, self.old = make, {}
-
-    def __missing__(self, key):
-        if len(self) >= MEMO:
-            self.old = dict(self)
-            self.clear()
-        found = self.old.get(key, self)
-        self[key] = found = self.make(key) if found is self else found
-        return found
-
-
 _WORKER: dict[str, Automaton] = {}
 
 
@@ -223,8 +338,10 @@ def encode(docs: DataFrame, tokenizer, text: str = "text", keep_text: bool = Tru
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _automaton(name, tables)
         for batch in sliced(batches):
-            ids = [automaton.encode(t) if t else b"" for t in batch.column(text).to_pylist()]
-            columns = {"n_tokens": pa.array([len(i) // 4 for i in ids], pa.int64()), "ids": pa.array(ids, pa.binary())}
+            flat, cuts = automaton.encode_texts(batch.column(text))
+            packed, ends = flat.tobytes(), (4 * cuts).tolist()
+            ids = [packed[i:j] for i, j in zip(ends, ends[1:])]
+            columns = {"n_tokens": pa.array(np.diff(cuts), pa.int64()), "ids": pa.array(ids, pa.binary())}
             if decoded:
                 columns[decoded] = pa.array([decode_ids(automaton.tables, i) if i else "" for i in ids], pa.string())
             yield _replace(batch, drop, columns)
