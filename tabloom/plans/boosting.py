@@ -273,7 +273,7 @@ class Booster:
         if parts > wanted:
             narrow = narrow.coalesce(max(1, wanted))
         elif parts < (cores := self.spark.sparkContext.defaultParallelism):
-            narrow = narrow.repartition(min(cores, wanted))
+            narrow = narrow.repartition(max(1, min(cores, wanted)))
         cuts, base, wide = self.cuts, self.base, self.s.max_bins > 254
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
