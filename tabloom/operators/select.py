@@ -8,9 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.operators.base import Fitted, Step, present
+from tabloom.operators.products import correlations_with, sample_variances
 from tabloom.operators.stats import aggregate_columns, correlation, numeric_columns, quoted, string_columns, value
 
 
+#: Columns from which on statistics come from block products: one aggregate expression per column would not compile.
+WIDE = 200
+
+
 class FeatureSelector(Step):
     """Choose columns from one aggregate over all numeric columns.
 
@@ -41,6 +46,10 @@ class FeatureSelector(Step):
 
     def scores(self, df: DataFrame) -> list[tuple[str, float]] | None:
         columns, label = self.numeric(df), self.opt("label")
+        if len(columns) > WIDE and self.opt("method") == "variance":
+            return list(sample_variances(df, columns).items())
+        if len(columns) > WIDE and self.opt("method") == "correlation" and label:
+            return [(c, abs(v)) for c, v in correlations_with(df, columns, label).items()]
         if self.opt("method") == "variance":
             found = aggregate_columns(df, columns, s=F.var_samp)
         elif self.opt("method") == "correlation" and label:

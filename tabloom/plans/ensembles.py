@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tabloom.operators import blend
 from tabloom.operators.split import fold_of, stratified_folds
 from tabloom.operators.stats import quoted
+from tabloom.plans import gram
 from tabloom.plans.models import ModelSet, TabularModel, in_threads, model_by_name, persisted, tuned_models
 from tabloom.session import scratch_path
 
@@ -121,12 +122,26 @@ class VotingEnsemble(Ensemble):
         return members.select(*[quoted(c) for c in df.columns], vote.alias(to))
 
 
+def _solvable(model: TabularModel) -> bool:
+    c = model.config
+    return type(model) is TabularModel and gram.applies(c.model_type, c.target_type, c.params)
+
+
 def _out_of_fold(models, folded: DataFrame, features, label, folds: int, score, prefix: str) -> DataFrame:
     """Each row scored by models that were fitted without the row's fold, feature columns dropped.
 
-    folds x models fits run side by side over one persisted table. The scores are written to the
+    Linear models of all folds come from one pass, which adds up products of columns by fold, and their scores are a
+    projection. Otherwise folds x models fits run side by side over one persisted table. The scores are written to the
     shared folder while that table is held, so what follows neither repeats the folds nor the scoring.
     """
+    parts = gram.fold_grams(folded, features, label, "__fold") if all(_solvable(m) for m in models) and folds > 1 else None
+    if parts is not None and set(parts) == set(range(folds)):
+        whole = sum(list(parts.values())[1:], list(parts.values())[0])
+        out = folded
+        for i, m in enumerate(models):
+            fits = [gram.solve(whole - parts[k], m.config.model_type, m.config.params) for k in range(folds)]
+            out = out.withColumn(f"{prefix}{i}", gram.by_fold(folded, fits, "__fold"))
+        return out.drop(*features)
     with persisted(folded, models) as rows:
         fitted = in_threads([
             lambda m=m, k=k: m.copy().fit(rows.filter(F.col("__fold") != k), features, label)

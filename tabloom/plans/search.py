@@ -7,6 +7,7 @@ import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass
 
+import numpy as np
 from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from tabloom.operators import tracking
 from tabloom.operators.metrics import metric
 from tabloom.operators.split import fold_of, stratified_folds
 from tabloom.operators.stats import quoted
+from tabloom.plans import gram
 from tabloom.plans.models import TabularModel, in_threads, persisted
 from tabloom.sources.results import load_model_config, save_model_config
 
@@ -134,6 +136,14 @@ SCORES = {
 }
 
 
+GRAM_SCORES = ("neg_mean_squared_error", "r2")
+
+
+def _gram_score(rows: gram.Gram, fit: gram.LinearFit, scoring: str) -> float:
+    mse, spread = gram.squared_errors(rows, fit)
+    return -mse if scoring == "neg_mean_squared_error" else 1 - mse / spread
+
+
 def score(model: TabularModel, df: DataFrame, label: str, scoring: str) -> float:
     """Score of a fitted model on a table; higher is better."""
     if scoring not in SCORES:
@@ -152,6 +162,7 @@ class Search:
         self.config, self.method = config, method
         self.history: list[dict] = []
         self.failures: list[dict] = []
+        self.splits: list | None = None
 
     def run(
         self, model: TabularModel, df: DataFrame, features: Sequence[str], label: str,
@@ -170,12 +181,35 @@ class Search:
                 rows = stratified_folds(rows, label, key, c.cv_folds, c.random_state, "__fold")
             else:
                 rows = rows.withColumn("__fold", fold_of(key, c.cv_folds, c.random_state))
-        with persisted(rows, [model]) as data:
-            self._run(model, data, held, features, label)
+        self.splits = self._splits(model, rows, held, features, label)
+        if self.splits is not None:
+            self._run(model, rows, held, features, label)
+        else:
+            with persisted(rows, [model]) as data:
+                self._run(model, data, held, features, label)
         if held is not None:
             held.unpersist()
         return SearchResult(self, model, df.sparkSession)
 
+    def _splits(self, model: TabularModel, rows: DataFrame, held: DataFrame | None, features, label: str) -> list | None:
+        """(fitted part, scored part) as sums of products, if these are all a trial needs: no trial reads the rows then."""
+        c = self.config
+        if not gram.applies(model.config.model_type, model.config.target_type, model.config.params) or c.scoring not in GRAM_SCORES:
+            return None
+        if set(c.search_space) - {"alpha", "l1_ratio", "max_iter"}:
+            return None
+        parts = gram.fold_grams(rows, features, label, None if held is not None else "__fold")
+        if parts is None:
+            return None
+        if held is not None:
+            scored = gram.fold_grams(held, features, label)
+            # sums of two tables have two shifts, and each is used on its own
+            return None if scored is None else [(parts[0], scored[0])]
+        if set(parts) != set(range(c.cv_folds)) or len(parts) < 2:
+            return None
+        whole = sum(list(parts.values())[1:], list(parts.values())[0])
+        return [(whole - parts[k], parts[k]) for k in range(c.cv_folds)]
+
     def _run(self, model: TabularModel, data: DataFrame, held: DataFrame | None, features, label: str) -> None:
         c, spark = self.config, data.sparkSession
         candidates = METHODS[self.method](spark, c).orderBy("trial").limit(c.n_trials).collect()
@@ -201,6 +235,9 @@ class Search:
         settings = {k: v for k, v in params.items() if k != "trial"}
         c = self.config
         try:
+            if self.splits is not None:
+                set_ = model.copy().set_params(**settings).config
+                return float(np.mean([_gram_score(test, gram.solve(train, set_.model_type, set_.params), c.scoring) for train, test in self.splits]))
             if held is not None:
                 fitted = model.copy().set_params(**settings).fit(data, features, label, held)
                 return score(fitted, held, label, c.scoring)
