@@ -124,7 +124,7 @@ def test_one_hot_columns(spark):
     train = spark.createDataFrame([(1, "b"), (2, "a"), (3, None)], "id int, k string")
     out = CategoricalEncoder(key="id", method="onehot").fit(train).transform(
         spark.createDataFrame([(1, "a"), (2, "?"), (3, None)], "id int, k string"))
-    assert out.columns == ["id", "k_a", "k_b", "k_missing"]
+    assert out.columns == ["id", "k_a", "k_b", "k_nan"]
     assert [tuple(r) for r in out.orderBy("id").collect()] == [(1, 1, 0, 0), (2, 0, 0, 0), (3, 0, 0, 1)]
 
 
