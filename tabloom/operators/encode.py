@@ -21,8 +21,9 @@ class CategoricalEncoder(Step):
 
     ``label``: 0-based code in sorted order, missing is the category ``'missing'``, unknown gives
     ``unknown_value``. ``onehot``: one 0/1 column per category, the source column goes; NULL is a
-    category of its own, ``<column>_nan``, apart from the text ``'missing'``. Only if ``max_columns``
-    is set, more categories become one sparse vector column ``<column>_onehot``. ``target``: mean
+    category of its own, ``<column>_nan``, apart from the text ``'missing'``. More categories than
+    ``max_columns``, or than the model can hold itself (``max_local``), become one sparse vector column
+    ``<column>_onehot`` instead. ``target``: mean
     label per category; NULL and unknown take the mean of rows with the text ``'missing'``, or 0.
     """
 
@@ -88,7 +89,8 @@ class OneHotEncoderModel(Fitted):
         for c in present(df, table["columns"]):
             held = table["columns"][c]
             count = len(held["rows"]) if "rows" in held else held["count"]
-            if self.fitted["max_columns"] is not None and count > self.fitted["max_columns"]:
+            most = self.fitted["max_columns"]
+            if "rows" not in held or (most is not None and count > most):
                 df = _one_hot_vector(df, table, c, count)
                 continue
             filled = F.coalesce(quoted(c), F.lit(NULL))

@@ -63,12 +63,31 @@ def lookup_value(df: DataFrame, column: str, mapping: Mapping, default, to: str)
     return lookup_join(df, table, [column], {to: default}, rows=len(mapping))
 
 
+def _by_key(tables: Sequence[DataFrame], key: str) -> DataFrame:
+    """One row per key with the columns of all tables and ``__in``, the numbers of the tables that hold it: one shuffle."""
+    names = [c for t in tables for c in t.columns if c != key]
+    if len(set(names)) < len(names):
+        raise ValueError(f"columns of several tables: {sorted({c for c in names if names.count(c) > 1})}")
+    parts = [t.withColumn("__table", F.lit(i)).where(quoted(key).isNotNull()) for i, t in enumerate(tables)]
+    while len(parts) > 1:  # pairs of pairs: a plan as deep as the logarithm of the number of tables
+        pairs = [parts[i:i + 2] for i in range(0, len(parts), 2)]
+        parts = [p[0].unionByName(p[1], allowMissingColumns=True) if len(p) == 2 else p[0] for p in pairs]
+    held = [F.first(quoted(c), ignorenulls=True).alias(c) for c in names]
+    return parts[0].groupBy(quoted(key)).agg(*held, F.collect_set("__table").alias("__in"))
+
+
 def align_on_key(tables: Sequence[DataFrame], key: str) -> DataFrame:
-    """Row-aligned columns of several tables that share a unique key."""
-    first, *rest = tables
-    for other in rest:
-        first = first.join(other, key, "inner")
-    return first
+    """Row-aligned columns of several tables that share a unique key: the keys that all of them hold."""
+    return _by_key(tables, key).where(F.size("__in") == len(tables)).drop("__in")
+
+
+def missing_keys(tables: Mapping[str, DataFrame], key: str) -> DataFrame:
+    """(key, missing): keys that only some tables hold, and the names of those that do not."""
+    names = F.array(*[F.lit(n) for n in tables])
+    own = [t.select(quoted(key)) for t in tables.values()]
+    there = F.transform("__in", lambda i: F.element_at(names, i + 1))
+    absent = F.array_except(names, there)
+    return _by_key(own, key).select(quoted(key), F.array_sort(absent).alias("missing")).where(F.size("missing") > 0)
 
 
 def count_shared_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabloom.functions.hashing import HASH_RANGE
 from tabloom.operators.lookup import lookup_join
@@ -43,12 +44,14 @@ def average_rank(df: DataFrame, column: str, to: str, range_rows: int = RANGE_RO
 
 def with_ranks(df: DataFrame, column: str, ranks: DataFrame, hot: Sequence[float]) -> DataFrame:
     """Ranks of values (``__value`` and one column) back on the rows."""
-    keyed = df.withColumn("__value", quoted(column).cast("double"))
+    keyed = df.withColumn("__value", quoted(column).cast(ranks.schema["__value"].dataType))
     return lookup_join(keyed, ranks, ["__value"], hot=hot).drop("__value")
 
 
 def value_ranks(df: DataFrame, column: str, to: str, range_rows: int = RANGE_ROWS) -> tuple[DataFrame, list[float]]:
     """(__value, rank) of each distinct value, and the values that many rows share."""
+    if not isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType, T.IntegerType, T.ShortType, T.ByteType)):
+        return _typed_ranks(df, column, to, range_rows)
     points, hot = cut_points(df, quoted(column), range_rows)
     number = quoted(column).cast("double")
     values = df.select(number.alias("__value")).dropna().groupBy("__value").agg(F.count("*").alias("__ties"))
@@ -62,6 +65,25 @@ def value_ranks(df: DataFrame, column: str, to: str, range_rows: int = RANGE_ROW
     return ranks, hot
 
 
+def _typed_ranks(df: DataFrame, column: str, to: str, range_rows: int) -> tuple[DataFrame, list]:
+    """The same for longs, decimals, texts and dates, which are compared as what they are: as doubles they would tie.
+
+    Distinct values are dealt by range and sorted; the checkpoint makes the ranges facts before they are counted.
+    """
+    shared_dir(df.sparkSession)
+    values = df.select(quoted(column).alias("__value")).where(F.col("__value").isNotNull()).groupBy("__value").agg(F.count("*").alias("__ties"))
+    ordered = values.repartitionByRange("__value").withColumn("__range", F.spark_partition_id()).checkpoint()
+    rows = ordered.agg(F.sum("__ties")).first()[0] or 0
+    hot = [r["__value"] for r in ordered.where(F.col("__ties") > max(range_rows, rows // 1000)).select("__value").collect()]
+    running = Window.partitionBy("__range").orderBy("__value").rowsBetween(Window.unboundedPreceding, -1)
+    local = ordered.withColumn("__before", F.coalesce(F.sum("__ties").over(running), F.lit(0)))
+    offsets = _range_offsets(ordered, {"__offset": F.sum("__ties")})
+    ranks = local.join(F.broadcast(offsets), "__range").select(
+        "__value", (F.col("__offset") + F.col("__before") + (F.col("__ties") + 1) / 2.0).alias(to)
+    )
+    return ranks, hot
+
+
 def _range_offsets(ranged: DataFrame, totals: dict[str, Column]) -> DataFrame:
     """Sums over all earlier ranges; at most as many rows as there are cut points plus one."""
     sums = ranged.groupBy("__range").agg(*[agg.alias(n) for n, agg in totals.items()])
@@ -181,17 +203,22 @@ def number_values(values: DataFrame, column: str, to: str, small: int = 100_000)
 
 
 def running_max(
-    df: DataFrame, group: Sequence[str], order: str, column: str, to: str, span: int = 1_000_000,
-    exclusive: bool = False,
+    df: DataFrame, group: Sequence[str], order: str, column: str, to: str, span: int | None = None,
+    exclusive: bool = False, range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Maximum of ``column`` up to the row (``exclusive``: before the row), over an integer order column.
 
     A NULL group is a group; rows without order are a span of their own, before all others.
 
-    Rows are cut into spans of the order column; a span's own running maximum is combined with the
-    maximum of all earlier spans.
+    Rows are cut into spans of the order column, of about ``range_rows`` rows or else ``span`` units each; a span's own
+    running maximum is combined with the maximum of all earlier spans.
     """
-    spanned = df.withColumn("__span", F.floor(quoted(order) / F.lit(span)).cast("bigint"))
+    if span is None:
+        points, _ = cut_points(df, quoted(order), range_rows)
+        spanned = with_range(df.withColumn("__n", quoted(order).cast("double")), "__n", points, "__span").drop("__n")
+        spanned = spanned.withColumn("__span", F.when(quoted(order).isNotNull(), F.col("__span")))
+    else:
+        spanned = df.withColumn("__span", F.floor(quoted(order) / F.lit(span)).cast("bigint"))
     keys = [*group, "__span"]
     peaks = spanned.groupBy(*keys).agg(F.max(quoted(column)).alias("__peak"))
     earlier = peaks.select(*keys, F.max("__peak").over(_earlier(group, "__span")).alias("__earlier"))

@@ -35,11 +35,11 @@ def best_trial(trials: DataFrame, study: Sequence[str] = (), keep: Sequence[str]
     return grouped.select(*study, "e.*")
 
 
-def running_best(trials: DataFrame, study: Sequence[str] = (), span: int = 1_000_000) -> DataFrame:
+def running_best(trials: DataFrame, study: Sequence[str] = (), span: int | None = None) -> DataFrame:
     return running_max(trials, study, "trial", "score", "best_score", span)
 
 
-def since_improvement(trials: DataFrame, study: Sequence[str] = (), span: int = 1_000_000) -> DataFrame:
+def since_improvement(trials: DataFrame, study: Sequence[str] = (), span: int | None = None) -> DataFrame:
     """``no_improvement``: trials since the running best last rose."""
     seen = running_max(trials, study, "trial", "score", "__prev", span, exclusive=True)
     improves = F.col("__prev").isNull() | (F.col("score") > F.col("__prev"))
@@ -51,7 +51,7 @@ def since_improvement(trials: DataFrame, study: Sequence[str] = (), span: int =
     )
 
 
-def early_stop(trials: DataFrame, rounds: int, study: Sequence[str] = (), span: int = 1_000_000) -> DataFrame:
+def early_stop(trials: DataFrame, rounds: int, study: Sequence[str] = (), span: int | None = None) -> DataFrame:
     """Trial at which a search with this patience ends (NULL: it runs to the end)."""
     counted = since_improvement(trials, study, span)
     stop = F.min(F.when(F.col("no_improvement") >= rounds, F.col("trial"))).alias("stopped_at")

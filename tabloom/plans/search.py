@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import math
 import time
+import uuid
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +21,7 @@ from tabloom.operators.metrics import metric
 from tabloom.operators.split import fold_of, stratified_folds
 from tabloom.operators.stats import quoted
 from tabloom.plans import gram
-from tabloom.plans.models import TabularModel, in_threads, persisted
+from tabloom.plans.models import TabularModel, persisted
 from tabloom.sources.results import load_model_config, save_model_config
 
 TRIAL_SCHEMA = "trial bigint, params map<string,string>, score double, ts double"
@@ -154,7 +157,11 @@ def score(model: TabularModel, df: DataFrame, label: str, scoring: str) -> float
 
 
 class Search:
-    """Fit and score candidates in batches of ``threads``; results count in trial order."""
+    """Fit and score candidates, ``threads`` at a time; results count in trial order.
+
+    The next trial starts when one ends. At the ``timeout`` the jobs of running trials are cancelled, and so are those of
+    trials that ran ahead of one that ended the search.
+    """
 
     def __init__(self, config: SearchConfig, method: str = "random"):
         if method not in METHODS:
@@ -214,21 +221,58 @@ class Search:
         c, spark = self.config, data.sparkSession
         candidates = METHODS[self.method](spark, c).orderBy("trial").limit(c.n_trials).collect()
         started, best, stale = time.time(), -math.inf, 0
-        for at in range(0, len(candidates), c.threads):
-            if c.timeout and time.time() - started > c.timeout:
-                return
-            batch = [r.asDict() for r in candidates[at:at + c.threads]]
-            jobs = [lambda p=p: self._trial(model, p, data, held, features, label) for p in batch]
-            for params, result in zip(batch, in_threads(jobs, c.threads)):
-                trial = params.pop("trial")
+        run, running = uuid.uuid4().hex, {}
+        sc = spark.sparkContext
+
+        def trial(params: dict) -> float | str:
+            tag = f"{run}-{params['trial']}"
+            sc.addJobTag(tag)
+            running[params["trial"]] = tag
+            try:
+                return self._trial(model, params, data, held, features, label)
+            finally:
+                running.pop(params["trial"], None)
+                sc.removeJobTag(tag)
+
+        pool = ThreadPoolExecutor(max_workers=c.threads)
+        found = [(r.asDict(), pool.submit(inheritable_thread_target(trial), r.asDict())) for r in candidates]
+        try:
+            for params, future in found:
+                left = None if c.timeout is None else max(0.0, started + c.timeout - time.time())
+                number = params.pop("trial")
+                try:
+                    result = future.result(left)
+                except TimeoutError:
+                    self._late(found, running)
+                    return
                 if isinstance(result, str):
-                    self.failures.append({"trial": trial, "params": params, "error": result})
+                    self.failures.append({"trial": number, "params": params, "error": result})
                     continue
-                self.history.append({"trial": trial, "params": params, "score": result, "ts": time.time()})
+                self.history.append({"trial": number, "params": params, "score": result, "ts": time.time()})
                 stale = 0 if result > best else stale + 1
                 best = max(best, result)
                 if c.early_stopping_rounds and stale >= c.early_stopping_rounds:
                     return
+        finally:
+            for _, future in found:
+                future.cancel()
+            while running:  # a trial may start another job between two looks
+                for tag in list(running.values()):
+                    sc.cancelJobsWithTag(tag)
+                time.sleep(0.05)
+            pool.shutdown()
+
+    def _late(self, found, running) -> None:
+        """Trials that run at the deadline are listed; those that ended in time still count, those that did not start do not."""
+        known = {t["trial"] for t in [*self.history, *self.failures]}
+        for number, (params, future) in enumerate(found):
+            number = params.pop("trial", number)
+            if number in known:
+                continue
+            if future.done() and not future.cancelled() and future.exception() is None and not isinstance(future.result(), str):
+                self.history.append({"trial": number, "params": params, "score": future.result(), "ts": time.time()})
+            elif number in running:
+                self.failures.append({"trial": number, "params": params, "error": "TimeoutError: cancelled at the deadline"})
 
     def _trial(self, model, params, data, held, features, label) -> float | str:
         """The score, or what is wrong with a candidate that cannot be fitted. Failures of the cluster are raised."""

@@ -6,10 +6,14 @@ Sinks write folders of part files, one task each; nothing is funnelled into a si
 from __future__ import annotations
 
 import json
+import re
 import time
+import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +22,7 @@ from tabloom.operators.rank import number_rows
 from tabloom.operators.stats import quoted
 from tabloom.operators.validate import result_flags
 
+ENTRY = re.compile(r"entry-(\d+)-([A-Za-z0-9]+)")
 LOG_SCHEMA = "timestamp timestamp, model string, rmse double, seq bigint, row bigint"
 
 
@@ -87,8 +92,10 @@ def validate_result(
     try:
         df = spark.read.option("header", True).csv(path)
         return bool(result_flags(df, expected_rows, expected_columns).first()["valid"])
-    except Exception:
-        return False
+    except PySparkException as e:
+        if isinstance(e, AnalysisException) or any(word in str(e) for word in ("MALFORMED", "FAILED_READ_FILE", "CANNOT_READ")):
+            return False
+        raise
 
 
 def summarize_result(df: DataFrame, path: str | None = None) -> DataFrame:
@@ -127,19 +134,59 @@ def append_result(spark: SparkSession, log: str, model: str, score: float, ts: d
     append_results(spark.createDataFrame(row, "timestamp timestamp, model string, rmse double"), log)
 
 
-def append_results(rows: DataFrame, log: str) -> None:
-    """Append (timestamp, model, rmse) rows to the log folder.
+def append_results(rows: DataFrame, log: str, token: str | None = None) -> int:
+    """Append (timestamp, model, rmse) rows to the log folder; the number of the entry.
 
-    Timestamps are whole seconds, so the log keeps the order of writing: ``seq`` is the moment of the append, ``row``
-    the column ``seq`` of ``rows`` or else the place of the row within one append.
+    Timestamps are whole seconds, so the log keeps the order of writing: entries are numbered, ``row`` is the column
+    ``seq`` of ``rows`` or else the place of the row within the entry. An entry is written aside and then renamed to the
+    next free number, which only one writer can do, so neither clocks nor retried tasks reorder or repeat rows. An
+    append whose ``token`` is in the log already is not repeated.
     """
+    spark, token = rows.sparkSession, token or uuid.uuid4().hex
+    if not re.fullmatch(r"[A-Za-z0-9]+", token):
+        raise ValueError("a token is made of letters and digits")
     row = F.col("seq") if "seq" in rows.columns else F.monotonically_increasing_id()
-    written = rows.select("timestamp", "model", "rmse", F.lit(time.time_ns()).alias("seq"), row.cast("bigint").alias("row"))
-    written.write.mode("append").parquet(log)
+    aside = f"{log}/_aside-{uuid.uuid4().hex}"  # readers pass over names that begin with _
+    rows.select("timestamp", "model", "rmse", F.lit(None).cast("bigint").alias("seq"), row.cast("bigint").alias("row")).write.parquet(aside)
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    place = hadoop.Path(log)
+    files = hadoop.FileContext.getFileContext(place.getFileSystem(conf).getUri(), conf)
+    options = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    while True:
+        found = [ENTRY.fullmatch(f.getPath().getName()) for f in place.getFileSystem(conf).listStatus(place)]
+        entries = {m[2]: int(m[1]) for m in found if m}
+        if token in entries:
+            place.getFileSystem(conf).delete(hadoop.Path(aside), True)
+            return entries[token]
+        number = max(entries.values(), default=0) + 1
+        # the number alone is what writers compete for: a folder of its own, made before the entry moves in
+        claim = hadoop.Path(f"{log}/_claim-{number:012d}")
+        try:
+            place.getFileSystem(conf).create(claim, False).close()
+        except Py4JJavaError as e:
+            if "AlreadyExists" not in e.java_exception.getClass().getName():
+                raise
+            _wait_for(place.getFileSystem(conf), place, claim, number)
+            continue
+        files.rename(hadoop.Path(aside), hadoop.Path(f"{log}/entry-{number:012d}-{token}"), options)
+        return number
+
+
+def _wait_for(system, place, claim, number: int, seconds: float = 30.0) -> None:
+    """Until the writer that holds a number has moved its entry in; the claim of a writer that died is taken away."""
+    until = time.time() + seconds
+    while time.time() < until:
+        if any(f.getPath().getName().startswith(f"entry-{number:012d}-") for f in system.listStatus(place)):
+            return
+        time.sleep(0.05)
+    system.delete(claim, False)
 
 
 def read_log(spark: SparkSession, log: str) -> DataFrame:
-    return spark.read.schema(LOG_SCHEMA).parquet(log)
+    """All committed rows; ``seq`` is the number of the entry."""
+    rows = spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", True).parquet(log)
+    number = F.regexp_extract(F.col("_metadata.file_path"), r"/entry-(\d+)-[A-Za-z0-9]+/", 1)
+    return rows.withColumn("seq", F.coalesce(F.when(number != "", number.cast("bigint")), F.col("seq")))
 
 
 def save_model_config(spark: SparkSession, config: Mapping, model: str, folder: str) -> str:
