@@ -36,7 +36,7 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 #: Pieces of text a Python worker remembers, in each of two generations.
 MEMO = 250_000
 #: States of the table; a full one starts again empty.
-STATES = 250_000
+STATES = 400_000
 #: Words read side by side, and the bytes above which a word is read on its own.
 WORDS, LONG = 20_000, 64
 #: White space at the start or the end of a piece.
@@ -337,7 +337,7 @@ def encode(docs: DataFrame, tokenizer, text: str = "text", keep_text: bool = Tru
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _automaton(name, tables)
-        for batch in sliced(batches):
+        for batch in sliced(batches, 1024):
             flat, cuts = automaton.encode_texts(batch.column(text))
             packed, ends = flat.tobytes(), (4 * cuts).tolist()
             ids = [packed[i:j] for i, j in zip(ends, ends[1:])]
