@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from tabloom.llm.common import kept
 
 MIN_SITES = 5
-MOST_LOST = 0.7
 LG_K = 12
 #: Estimates within this share of the threshold (five standard errors of a sketch of 2^12 registers), or within one
 #: site of it, are replaced by exact counts.
@@ -53,29 +52,31 @@ def spread(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     return sure.withColumn("exact", F.lit(False)).unionByName(counted.withColumn("exact", F.lit(True)))
 
 
-def clean_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, most_lost: float = MOST_LOST) -> DataFrame:
-    """``docs`` with ``text`` cleaned and the columns ``n_lines`` and ``n_removed`` (numbers of lines).
+def clean_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
+    """``docs`` with ``text`` cleaned and the columns ``n_lines`` and ``n_removed`` (numbers of lines; replaced if there).
 
-    Lines are compared without blanks around them; blank lines are never boilerplate. A text that would lose more than
-    ``most_lost`` of its characters is a copy of other texts rather than a page with boilerplate: it stays whole, and
+    Lines are compared without blanks around them; blank lines are never boilerplate. A text of which no line of its own
+    would be left, blank lines aside, is a copy of other texts rather than a page with boilerplate: it stays whole, and
     document deduplication decides about it. Null text: null, no lines. Sites that are null do not count. Repeated rows
     stay repeated and are cleaned alike. No rows in, no rows out.
     """
-    names = docs.columns
+    made = ("n_lines", "n_removed")
+    names = [n for n in docs.columns if n not in made]
     lines = line_table(docs, site)
     boilerplate = kept(spread(lines, min_sites).where(F.col("sites") >= min_sites).select("k1", "k2"), "boilerplate")
-    drop = lines.join(boilerplate, ["k1", "k2"], "left_semi").groupBy("t1", "t2").agg(F.collect_set("at").alias("_drop"))
-    keyed = docs.select("*", *[c.alias(f"_{n}") for c, n in zip(_text_key("text"), ("t1", "t2"))])
-    joined = keyed.join(drop.select(F.col("t1").alias("_d1"), F.col("t2").alias("_d2"), "_drop"), (F.col("_t1") == F.col("_d1")) & (F.col("_t2") == F.col("_d2")), "left")
-    all_lines = _lines("text")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col("_drop"))
-    cleaned = F.array_join(F.transform(stay, lambda i: F.get(F.col("_lines"), i)), "\n")
-    joined = joined.withColumn("_lines", F.when(F.col("_drop").isNotNull(), all_lines)).withColumn("_clean", cleaned)
-    cut = F.col("_clean").isNotNull() & (F.length("_clean") >= F.length("text") * (1 - most_lost))
+    drop = lines.join(boilerplate, ["k1", "k2"], "left_semi").groupBy("t1", "t2").agg(F.collect_set("at").alias("drop"))
+    keyed = docs.select(F.struct(*[F.col(f"`{n}`") for n in names if n != "text"], F.lit(0).alias("_")).alias("row"), F.col("text").alias("whole"), *_text_key("text"))
+    drop = drop.select(F.col("t1").alias("d1"), F.col("t2").alias("d2"), "drop")
+    joined = keyed.join(drop, (F.col("t1") == F.col("d1")) & (F.col("t2") == F.col("d2")), "left")
+    all_lines = _lines("whole")
+    stay = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col("drop"))
+    cleaned = F.array_join(F.transform(stay, lambda i: F.get(F.col("lines"), i)), "\n")
+    joined = joined.withColumn("lines", F.when(F.col("drop").isNotNull(), all_lines)).withColumn("clean", cleaned)
+    cut = F.col("clean").isNotNull() & (F.btrim("clean", F.lit(BLANKS + "\n")) != "")
     return joined.select(
-        *[F.when(cut, F.col("_clean")).otherwise(F.col("text")).alias("text") if n == "text" else F.col(n) for n in names],
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(all_lines)).cast("bigint").alias("n_lines"),
-        F.when(cut, F.size("_drop")).otherwise(0).cast("bigint").alias("n_removed"),
+        *[F.when(cut, F.col("clean")).otherwise(F.col("whole")).alias(n) if n == "text" else F.col("row").getField(n).alias(n) for n in names],
+        F.when(F.col("whole").isNull(), 0).otherwise(F.size(all_lines)).cast("bigint").alias("n_lines"),
+        F.when(cut, F.size("drop")).otherwise(0).cast("bigint").alias("n_removed"),
     )
 
 
@@ -88,11 +89,11 @@ bare AS (SELECT *, trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS
 boilerplate AS (SELECT key FROM bare WHERE key <> '' GROUP BY key HAVING count(DISTINCT source) >= 5),
 cleaned AS (
     SELECT r, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE b.key IS NULL), '') AS text,
-           count(*) AS n_lines, count(b.key) AS n_removed
+           count(*) AS n_lines, count(b.key) AS n_removed, count(*) FILTER (WHERE b.key IS NULL AND key <> '') AS n_own
     FROM bare LEFT JOIN boilerplate b USING (key) GROUP BY r)
 SELECT t.doc_id,
-       CASE WHEN n_removed > 0 AND length(c.text) >= length(t.text) * (1 - 0.7::DOUBLE) THEN c.text ELSE t.text END AS text,
+       CASE WHEN n_removed > 0 AND n_own > 0 THEN c.text ELSE t.text END AS text,
        coalesce(n_lines, 0)::BIGINT AS n_lines,
-       CASE WHEN n_removed > 0 AND length(c.text) >= length(t.text) * (1 - 0.7::DOUBLE) THEN n_removed ELSE 0 END::BIGINT AS n_removed
+       CASE WHEN n_removed > 0 AND n_own > 0 THEN n_removed ELSE 0 END::BIGINT AS n_removed
 FROM texts t LEFT JOIN cleaned c USING (r)
 """

@@ -182,7 +182,7 @@ def test_span_edges(spark):
     assert spans.remove_repeats(docs_of(spark, [])).count() == 0
 
 
-def brute_lines(rows, sites, most):
+def brute_lines(rows, sites):
     spread = collections.defaultdict(set)
     for _, text, _, source in rows:
         for line in (text or "").split("\n"):
@@ -195,7 +195,7 @@ def brute_lines(rows, sites, most):
             continue
         left = [x for x in text.split("\n") if x.strip(lines.BLANKS) not in common]
         n, new = len(text.split("\n")), "\n".join(left)
-        whole = len(left) == n or len(new) < len(text) * (1 - most)
+        whole = len(left) == n or not new.strip(lines.BLANKS + "\n")
         out.append((i, text if whole else new, n, 0 if whole else n - len(left)))
     return sorted(out, key=str)
 
@@ -207,7 +207,7 @@ def cleaned(docs, **settings):
 @pytest.mark.parametrize("sites", [2, 5, 14])
 def test_lines_equal_brute_force(documents, sites):
     rows = [(r.doc_id, r.text, r.lang, r.source) for r in documents.collect()]
-    assert cleaned(documents, min_sites=sites) == brute_lines(rows, sites, lines.MOST_LOST)
+    assert cleaned(documents, min_sites=sites) == brute_lines(rows, sites)
 
 
 def test_many_sites_around_the_threshold_are_exact(spark):
@@ -216,7 +216,7 @@ def test_many_sites_around_the_threshold_are_exact(spark):
     for spread in range(180, 221):
         rows += [(len(rows) + s, f"own text number {spread} {s} which is long enough to stay\nline of {spread}", None, f"site{s}") for s in range(spread)]
     rows = [(i, *r[1:]) for i, r in enumerate(rows)]
-    assert cleaned(docs_of(spark, rows), min_sites=200) == brute_lines(rows, 200, lines.MOST_LOST)
+    assert cleaned(docs_of(spark, rows), min_sites=200) == brute_lines(rows, 200)
     found = lines.spread(lines.line_table(docs_of(spark, rows)), 200)
     assert found.where("exact").count() > 0
 
@@ -225,9 +225,10 @@ def test_line_edges(spark):
     rows = [(i, f"keep this line of document {i}\n  buy now\t\n\nend {i}", None, f"s{i}") for i in range(6)]
     rows += [(6, None, None, "s1"), (7, "", None, "s2"), (8, "buy now", None, None), (9, "solo\nbuy now\nbuy now\nmore of the text here", None, "s3")]
     rows += [rows[0], (None, "null key\nbuy now and more", None, None), (11, "z" * 300_000 + "\nbuy now", None, "s0")]
-    docs = docs_of(spark, rows, wide=True)
-    assert cleaned(docs) == brute_lines(rows, lines.MIN_SITES, lines.MOST_LOST)
-    assert lines.clean_lines(docs).columns == [*docs.columns, "n_lines", "n_removed"]
+    rows += [(20, "buy now\nbuy now\n" * 50 + "own", None, "s9"), (21, " \nbuy now\n\t", None, "s9")]
+    docs = docs_of(spark, rows, wide=True).withColumnRenamed("size", "_drop").withColumnRenamed("at", "n_removed").withColumnRenamed("_row", "row")
+    assert cleaned(docs) == brute_lines(rows, lines.MIN_SITES)
+    assert lines.clean_lines(docs).columns == [*[c for c in docs.columns if c != "n_removed"], "n_lines", "n_removed"]
     assert lines.clean_lines(docs_of(spark, [])).count() == 0
     assert "Python" not in lines.clean_lines(docs)._jdf.queryExecution().executedPlan().toString()
 
