@@ -106,3 +106,24 @@ def test_wide_one_hot_is_a_sparse_vector(spark):
     vectors = {r.id: r.k_onehot for r in out.collect()}
     assert all(v.size == 10 and v.numNonzeros() <= 1 for v in vectors.values())
     assert len({tuple(v.indices) for v in vectors.values()}) == 10
+
+
+def test_many_hot_entities_make_no_larger_plan(spark):
+    from tabloom.operators.windows import lag_features, rolling_range
+
+    rows = [(None if i % 40 == 3 else i % 40, i, float(i * 7 % 31)) for i in range(1200)]
+    df = spark.createDataFrame(rows, "e int, t long, v double")
+    sizes = set()
+    for hot in (10, 29):
+        got = lag_features(df if hot == 10 else df.where("e = 5 or e < 3"), "e", ["t"], ["v"], (1, 2), hot_rows=hot, chunk_rows=4)
+        sizes.add(len(got._jdf.queryExecution().optimizedPlan().toString().splitlines()))
+        seen: dict = {}
+        for r in sorted(got.collect(), key=lambda r: r.t):
+            before = seen.setdefault(r.e, [])
+            assert (r.v_lag_1, r.v_lag_2) == (before[-1] if before else None, before[-2] if len(before) > 1 else None)
+            before.append(r.v)
+    assert max(sizes) - min(sizes) <= 4
+    stamped = df.select("e", F.timestamp_seconds("t").alias("ts"), "v")
+    plain = rolling_range(stamped, "e", "ts", ["v"], 100, ("sum", "count"))
+    cut = rolling_range(stamped, "e", "ts", ["v"], 100, ("sum", "count"), hot_rows=10)
+    assert plain.exceptAll(cut).count() == 0 and plain.count() == cut.count() == 1200
