@@ -244,3 +244,11 @@ def test_edges(spark, table):
     assert none.getNumTrees == 0 and none.transform(table).count() == table.count()
     one = Booster(table.limit(1), FEATURES, "y", BoostSettings(n_estimators=3, growth="symmetric")).fit()
     assert one.getNumTrees == 3
+
+
+def test_default_rounds_with_patience_on_orders(spark):
+    from __spark_entry__ import queries
+
+    found = queries()["gbt_patience"](spark, "/root/testdata/sf0.001").filter("held")
+    row = found.agg(F.avg(F.pow(F.col("y") - F.col("p"), 2)).alias("mse"), F.var_pop("y").alias("spread"), F.max("n_trees").alias("trees")).first()
+    assert row.mse < 0.1 * row.spread and 1 < row.trees < 1000
