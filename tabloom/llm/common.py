@@ -15,9 +15,18 @@ from pyspark.sql import functions as F
 from tabloom.session import scratch_path
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """Written once to the shared folder and read from there: lineage ends, executors may be lost."""
+#: Rows of a file, if the number of rows is known and each core has two files.
+FILE_ROWS = 200_000
+
+
+def kept(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Written once to the shared folder and read from there: lineage ends, executors may be lost.
+
+    ``rows``: how many there are at most, if known. A small table is then written as fewer files than shuffle partitions.
+    """
     path = scratch_path(df.sparkSession, name)
+    if rows is not None:
+        df = df.coalesce(max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-rows // FILE_ROWS)))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,7 @@ VALUES = 40
 CHUNKS = 10
 DISTANCE = 19
 BITS = 16
+_KEYS = CHUNKS * comb(VALUES // CHUNKS, DISTANCE // CHUNKS)
 #: Groups of up to so many members, and families of up to so many shingles, are one task's work.
 WHOLE = 256
 SHINGLES = 1 << 20
@@ -228,25 +230,29 @@ def _sets(docs: DataFrame, members: DataFrame, width: int) -> DataFrame:
 def linked(docs: DataFrame, signed: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(classes, components): rep, f1, f2 of each class of equal sets; node (rep) and component of the linked ones."""
     some = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    rows = some.count()
     classes = some.groupBy("f1", "f2").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature"),
     )
-    classes = kept(classes, "classes")
+    classes = kept(classes, "classes", rows)
     occurrences = kept(_indexed(classes), "index")
-    shared = kept(occurrences.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "shared-keys")
+    shared = kept(occurrences.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "shared-keys", rows * _KEYS // 2)
     met = occurrences.join(shared, "key").join(classes.select("rep", "signature"), "rep")
-    met = blocked(met, ["key"], F.col("rep"), _n_blocks(F.col("members"), 0.1)).select("key", "block_a", "block_b", "rep", "signature")
+    blocks = _n_blocks(F.col("members"), 0.1)
+    most = shared.agg(F.sum(F.col("members") * blocks)).first()[0] or 0  # a group is connected by fewer links than it has members
+    met = blocked(met, ["key"], F.col("rep"), blocks).select("key", "block_a", "block_b", "rep", "signature")
     dealt = met.repartition("key", "block_a", "block_b").sortWithinPartitions("key", "block_a", "block_b")
-    near = kept(on_executors(dealt, _near_links, "a bigint, b bigint").distinct(), "near-links")
+    near = kept(on_executors(dealt, _near_links, "a bigint, b bigint").distinct(), "near-links", most)
 
-    families = kept(components(near).select(F.col("node").alias("rep"), F.col("component").alias("family")), "families")
+    families = kept(components(near).select(F.col("node").alias("rep"), F.col("component").alias("family")), "families", rows)
     members = families.join(classes.select("rep", "f1", "f2", "n"), "rep")
-    sizes = kept(members.groupBy("family").agg(F.count("*").alias("members"), F.sum("n").alias("total")), "family-sizes")
+    sizes = kept(members.groupBy("family").agg(F.count("*").alias("members"), F.sum("n").alias("total")), "family-sizes", rows)
     found = _sets(docs, members.select("rep", "family", "f1", "f2"), width).select("rep", "family", "found").join(sizes, "family")
     blocks = _n_blocks(F.col("members"), 0.4, shingle_sum=F.col("total"))
+    most = sizes.agg(F.sum(F.col("members") * blocks)).first()[0] or 0
     dealt = blocked(found, ["family"], F.col("rep"), blocks).select("family", "block_a", "block_b", "rep", "found")
     dealt = dealt.repartition("family", "block_a", "block_b").sortWithinPartitions("family", "block_a", "block_b")
-    links = kept(on_executors(dealt, _confirmed_links(percent), "a bigint, b bigint").distinct(), "confirmed-links")
+    links = kept(on_executors(dealt, _confirmed_links(percent), "a bigint, b bigint").distinct(), "confirmed-links", most)
     return classes, components(links)
 
 

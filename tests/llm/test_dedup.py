@@ -8,7 +8,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tabloom.llm import components as components_module
 from tabloom.llm import lines, near_dup, spans
+from tabloom.llm.common import kept
 from tabloom.llm.components import components
 from tests.llm.conftest import docs_of
 
@@ -110,6 +112,28 @@ def test_components_of_chains_stars_and_loops(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_small_tables_of_links_cost_few_files_and_no_round_to_confirm(spark, monkeypatch):
+    files = []
+
+    def counted(df, name, *rows):
+        out = kept(df, name, *rows)
+        files.append((name, len(out.inputFiles())))
+        return out
+
+    monkeypatch.setattr(components_module, "kept", counted)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "97")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        star = spark.createDataFrame([(1, x) for x in range(2, 2000)], "a long, b long")
+        assert {r.component for r in components(star).collect()} == {1}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [name for name, _ in files].count("small-star") == 1
+    assert max(n for _, n in files) <= 2 * spark.sparkContext.defaultParallelism < 97
+
+
 def brute_spans(rows, words):
     seen, out = {}, {}
     for i, text in sorted(rows):
