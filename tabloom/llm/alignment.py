@@ -17,7 +17,6 @@ import itertools
 import json
 import os
 from array import array
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -227,6 +226,8 @@ class Pair:
             import public_tokenizers
 
             self.ranks = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks={x: i for i, x in labels.items() if i <= order[-1]}, special_tokens={})
+        #: Whether a link's ids fit into 32 bits together; then links are remembered and stored like that.
+        self.narrow = max(len(self.a_labels), len(self.b_labels)) <= 1 << 16
         #: How a token is written: followed by a comma, or by what ends its side of the group.
         self.spelling = [b"%d%c" % (i, end) for i in range(len(self.a_labels)) for end in b",|"]
         self.spelling += [b"%d%c" % (i, end) for i in range(len(self.b_labels)) for end in b",;"]
@@ -282,10 +283,12 @@ class Pair:
         a_size, b_size = np.diff(a_cut, prepend=0), np.diff(b_cut, prepend=0)
         order[np.arange(len(a)) + np.repeat(b_cut - b_size, a_size)] = 2 * a + a_last
         order[np.arange(len(b)) + np.repeat(a_cut, b_size)] = 2 * (len(self.a_labels) + b) + b_last
-        written, linked = order.tobytes(), links.tobytes()
+        if self.narrow:
+            links = (links >> _U64(16) | links & _U64(0xFFFF)).astype(np.uint32)
+        written, linked, wide = order.tobytes(), links.tobytes(), links.itemsize
         cuts = [np.searchsorted(x, stops, "right") for x in (a_ends, b_ends, common, ends)]
         sizes = [np.diff(c, prepend=0).tolist() for c in cuts[:3]]
-        tokens, joins = [0, *(4 * (cuts[0] + cuts[1])).tolist()], [0, *(8 * cuts[3]).tolist()]
+        tokens, joins = [0, *(4 * (cuts[0] + cuts[1])).tolist()], [0, *(wide * cuts[3]).tolist()]
         for s, n, m, g, t0, t1, l0, l1 in zip(some, *sizes, tokens, tokens[1:], joins, joins[1:]):
             self.young[s] = n, m, g, written[t0:t1], linked[l0:l1]
 
@@ -331,10 +334,9 @@ def load(spark: SparkSession, path_a: str, path_b: str):
 
 # short texts: whole in one task
 
-def _counted(links: np.ndarray, weights: np.ndarray | None = None) -> pa.RecordBatch:
-    pairs, place = np.unique(links, return_inverse=True)
-    times = np.bincount(place, weights=weights, minlength=len(pairs)).astype(np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(pairs.astype(np.int64)), pa.array(times)], ["pair", "times"])
+def _counted(links: np.ndarray) -> pa.RecordBatch:
+    pairs, times = np.unique(links, return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(pairs.astype(np.int64)), pa.array(times.astype(np.int64))], ["pair", "times"])
 
 
 def _sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -343,46 +345,20 @@ def _sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return so_far[offsets[1:]] - so_far[offsets[:-1]]
 
 
-def _short_pairs(docs: DataFrame, files) -> DataFrame:
-    """(pair, times): partial counts, some for each task; added up by segment first."""
-    name, held = files
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair, times, links = _pair(name, held), Counter(), {}
-
-        def drained() -> pa.RecordBatch:
-            parts = [np.frombuffer(links[s], _U64) for s in times]
-            weights = np.repeat(np.fromiter(times.values(), np.int64, len(times)), [len(x) for x in parts]) if parts else None
-            out = _counted(np.concatenate(parts) if parts else np.zeros(0, _U64), weights)
-            times.clear()
-            links.clear()
-            return out
+_ALIGNED = "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, links binary"
 
-        for batch in sliced(batches, 1024):
-            offsets, codes, names = split_texts(batch.column(0))
-            entries = pair.remember(names)
-            spelt = np.array([e is not None for e in entries], bool)
-            whole = _sums(~spelt[codes], offsets) == 0
-            seen = np.bincount(codes[np.repeat(whole, np.diff(offsets))], minlength=len(names)).tolist()
-            for s, e, n in zip(names, entries, seen):
-                if n:
-                    times[s] += n
-                    links[s] = e[4]
-            if len(times) > MEMO:
-                yield drained()
-        yield drained()
 
-    return on_executors(docs.select("_text"), run, "pair bigint, times bigint")
+def _aligned(docs: DataFrame, files) -> DataFrame:
+    """Texts whose tokens one task aligns whole: (_key, n_a, n_b, n_groups, n_links, groups_sha256, links).
 
-
-def _short_rows(docs: DataFrame, files, table, key: str) -> DataFrame:
-    """Results of texts whose tokens one task aligns whole. ``table``: pairs, their counts, the highest count of each B id."""
+    Both the counting and the sums over counts need the links. They are kept in the shared folder, 4 or 8 bytes each,
+    since encoding the texts again takes more time.
+    """
     name, held = files
-    made = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = _pair(name, held)
-        pairs, counts, best = table.value
+        kind = np.uint32 if pair.narrow else _U64
         for batch in sliced(batches, 1024):
             offsets, codes, names = split_texts(batch.column(1))
             entries = pair.remember(names)
@@ -390,11 +366,10 @@ def _short_rows(docs: DataFrame, files, table, key: str) -> DataFrame:
             entries = [e or (0, 0, 0, b"", b"") for e in entries]
             whole = (_sums(~spelt[codes], offsets) == 0) & (np.diff(offsets) > 0)
             sizes = np.array([e[:3] for e in entries], np.int64).reshape(-1, 3)
-            links, cuts = spelt_out([e[4] for e in entries], np.arange(len(entries)), np.int64)
-            at = np.minimum(np.searchsorted(pairs, links), len(pairs) - 1)
-            found = np.where(pairs[at] == links, counts[at], 0)  # 0: only in texts that are not spelt
-            hit = (found > 0) & (found == best[np.minimum(links & 0xFFFFFFFF, len(best) - 1)])
-            a, b, g, n_best, total = (np.where(whole, _sums(x[codes], offsets), 0) for x in (*sizes.T, _sums(hit, cuts), _sums(found, cuts)))
+            a, b, g = (np.where(whole, _sums(x[codes], offsets), 0) for x in sizes.T)
+            links, _ = spelt_out([e[4] for e in entries], codes[np.repeat(whole, np.diff(offsets))], kind)
+            ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(a + b - g)]) * links.itemsize
+            stored = pa.Array.from_buffers(pa.large_binary(), len(whole), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(links.tobytes())])
             written, breaks = spelt_out([e[3] for e in entries], np.arange(len(entries)))
             parts, breaks = list(map(pair.spelling.__getitem__, written.tolist())), breaks.tolist()
             texts = [b"".join(parts[i:j]) for i, j in zip(breaks, breaks[1:])]
@@ -402,10 +377,48 @@ def _short_rows(docs: DataFrame, files, table, key: str) -> DataFrame:
                 hashlib.sha256(b"".join([texts[c] for c in codes[i:j].tolist()])[:-1]).hexdigest() if ok else ""
                 for ok, i, j in zip(whole.tolist(), offsets[:-1].tolist(), offsets[1:].tolist())
             ]
-            columns = [pa.array(x, pa.int64()) for x in (a, b, g, a + b - g, n_best, total)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array(digests, pa.string())], [key, *made])
+            columns = [*[pa.array(x, pa.int64()) for x in (a, b, g, a + b - g)], pa.array(digests, pa.string()), stored.cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["_key", *[f.split()[0] for f in _ALIGNED.split(", ")]])
+
+    return kept(on_executors(docs.select("_key", "_text"), run, f"_key {docs.schema['_key'].dataType.simpleString()}, " + _ALIGNED), "aligned-short")
+
+
+def _stored_links(links: pa.Array, n: int) -> np.ndarray:
+    """``n`` links (a id << 32 | b id) of all rows in a row, as ``_aligned`` stored them."""
+    raw = b"".join(links.to_pylist())
+    if len(raw) == 8 * n:
+        return np.frombuffer(raw, np.int64)
+    narrow = np.frombuffer(raw, np.uint32).astype(np.int64)
+    return narrow >> 16 << 32 | narrow & 0xFFFF
+
+
+def _short_pairs(aligned: DataFrame) -> DataFrame:
+    """(pair, times): partial counts, some for each task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, 4096):
+            yield _counted(_stored_links(batch.column(1), pc.sum(batch.column(0)).as_py() or 0))
+
+    return on_executors(aligned.where("n_links > 0").select("n_links", "links"), run, "pair bigint, times bigint")
+
+
+def _short_rows(aligned: DataFrame, table, key: str) -> DataFrame:
+    """Results of ``_aligned`` texts. ``table``: pairs, their counts, the highest count of each B id."""
+    made = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs, counts, best = table.value
+        for batch in sliced(batches, 4096):
+            n = batch.column("n_links").to_numpy()
+            offsets = np.concatenate([np.zeros(1, np.int64), np.cumsum(n)])
+            links = _stored_links(batch.column("links"), int(offsets[-1]))
+            distinct, place = np.unique(links, return_inverse=True)
+            found = counts[np.searchsorted(pairs, distinct)]  # every link is counted
+            hit = found == best[distinct & 0xFFFFFFFF]
+            sums = [pa.array(_sums(x[place], offsets), pa.int64()) for x in (hit.astype(np.int64), found)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("_key", *made[:4])], *sums, batch.column("groups_sha256")], [key, *made])
 
-    return on_executors(docs.select("_key", "_text"), run, f"`{key}` {docs.schema['_key'].dataType.simpleString()}, " + _RESULT)
+    return on_executors(aligned, run, f"`{key}` {aligned.schema['_key'].dataType.simpleString()}, " + _RESULT)
 
 
 _RESULT = "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string"
@@ -565,29 +578,30 @@ def align(docs: DataFrame, files, key: str = "doc_id", text: str = "text", size:
     more than ``size`` bytes are aligned in byte ranges by different tasks. Repeated rows are documents of their own and
     count in the pair counts. Only the key and the text are read.
 
-    Pair counts are a table of the two vocabularies. Up to ``max_pairs`` of them are sent to the executors, which add up
-    the short texts again; if there are more, every text goes the way of long ones and is joined with the counts.
+    Short texts are encoded once, and their links kept. Pair counts are a table of the two vocabularies. Up to
+    ``max_pairs`` of them are sent to the executors, which look up the links of the short texts; if there are more, every text goes the way of long ones and is joined with the counts.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     is_long = F.coalesce(F.octet_length("_text") + 1 > size, F.lit(False))
     short = rows.where(~is_long)
     done, pairs = _long(rows.where(is_long), files, size)
-    parts = _short_pairs(short, files).unionByName(pairs.select("pair", "times"))
+    aligned = _aligned(short, files)
+    parts = _short_pairs(aligned).unionByName(pairs.select("pair", "times"))
     counts = kept(parts.groupBy("pair").agg(F.sum("times").alias("n")), "pair-counts")
     best = counts.groupBy(_b_id("pair").alias("b")).agg(F.max("n").alias("best"))
     few = counts.count() <= max_pairs
     if not few:
         some = F.coalesce(F.length("_text") > 0, F.lit(False))
         done, pairs = _long(rows.where(some), files, size)
-        short = rows.where(~some)
+        aligned = _aligned(rows.where(~some), files)
         counts_of_short = (np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1, np.int64))
     else:
         held = counts.orderBy("pair").toArrow()
         pair, n = (held.column(c).to_numpy() for c in ("pair", "n"))
         top = np.zeros(int((pair & 0xFFFFFFFF).max()) + 1 if len(pair) else 1, np.int64)
         np.maximum.at(top, pair & 0xFFFFFFFF, n)
-        counts_of_short = (pair, n, top) if len(pair) else (np.full(1, -1), np.zeros(1, np.int64), top)
+        counts_of_short = (pair, n, top) if len(pair) else (np.zeros(1, np.int64), np.zeros(1, np.int64), top)
     rated = counts.withColumn("b", _b_id("pair")).join(best, "b").select("pair", "n", (F.col("n") == F.col("best")).cast("bigint").alias("hit"))
     linked = pairs.join(F.broadcast(rated) if few else rated, "pair").groupBy("_part", "_at").agg(
         F.sum(F.col("times") * F.col("hit")).alias("n_best"), F.sum(F.col("times") * F.col("n")).alias("count_sum"),
@@ -596,4 +610,4 @@ def align(docs: DataFrame, files, key: str = "doc_id", text: str = "text", size:
     long_rows = done.join(linked, ["_part", "_at"], "left").select(
         F.col("_key").alias(key), "n_a", "n_b", "n_groups", "n_links", F.coalesce("n_best", zero).alias("n_best"), F.coalesce("count_sum", zero).alias("count_sum"), "groups_sha256",
     )
-    return _short_rows(short, files, spark.sparkContext.broadcast(counts_of_short), key).unionByName(long_rows)
+    return _short_rows(aligned, spark.sparkContext.broadcast(counts_of_short), key).unionByName(long_rows)

@@ -7,6 +7,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -112,6 +113,22 @@ def test_ranges_of_any_size_and_edges(spark, library, size, max_pairs):
     assert found(alignment.align(docs, files_of(spark), size=size, max_pairs=max_pairs)) == plain(library, rows)
 
 
+def test_short_texts_are_encoded_once(spark, library, tmp_path):
+    texts = [*ODD, None, "", "some words here", "some words"]
+    docs_of(spark, list(enumerate(texts))).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    files = alignment.load(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.path(PIECES))
+    result = alignment.align(docs, files)
+    assert not [f for f in result.inputFiles() if f"{tmp_path}/docs" in f]  # the texts were read before, the links are kept
+    kept = alignment._aligned(docs.selectExpr("doc_id AS _key", "text AS _text"), files)
+    for r in kept.join(docs, kept["_key"] == docs["doc_id"]).collect():
+        whole = library.links(r.text) if library.spans(r.text) else []
+        stored = alignment._stored_links(pa.array([r.links]), r.n_links)
+        assert [(x >> 32, x & 0xFFFFFFFF) for x in stored.tolist()] == whole
+    wide = alignment._stored_links(pa.array([np.array([70000 << 32 | 80000], np.int64).tobytes()]), 1)
+    assert wide.tolist() == [70000 << 32 | 80000]
+
+
 def test_nothing(spark):
     assert alignment.align(docs_of(spark, []), files_of(spark)).count() == 0
     only = alignment.align(docs_of(spark, [(1, None), (2, "")]), files_of(spark)).collect()
