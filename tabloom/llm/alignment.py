@@ -33,7 +33,7 @@ from tabloom.llm.common import claim, coded, kept, on_executors, sliced, spelt_o
 #: Bytes of text of a fragment; longer texts are cut into several.
 RANGE = 1 << 16
 #: Segments a Python worker remembers, in each of two generations.
-MEMO = 250_000
+MEMO = 100_000
 #: Distinct linked id pairs whose counts every executor may hold (16 bytes each); more are joined by a shuffle.
 MAX_PAIRS = 4_000_000
 #: Fragments composed at once in a round.
@@ -359,7 +359,7 @@ def _aligned(docs: DataFrame, files) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = _pair(name, held)
         kind = np.uint32 if pair.narrow else _U64
-        for batch in sliced(batches, 1024):
+        for batch in sliced(batches):
             offsets, codes, names = split_texts(batch.column(1))
             entries = pair.remember(names)
             spelt = np.array([e is not None for e in entries], bool)
@@ -396,7 +396,8 @@ def _short_pairs(aligned: DataFrame) -> DataFrame:
     """(pair, times): partial counts, some for each task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, 4096):
+        claim("alignment links", lambda: None)
+        for batch in sliced(batches):
             yield _counted(_stored_links(batch.column(1), pc.sum(batch.column(0)).as_py() or 0))
 
     return on_executors(aligned.where("n_links > 0").select("n_links", "links"), run, "pair bigint, times bigint")
@@ -407,15 +408,15 @@ def _short_rows(aligned: DataFrame, table, key: str) -> DataFrame:
     made = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("alignment links", lambda: None)
         pairs, counts, best = table.value
-        for batch in sliced(batches, 4096):
+        for batch in sliced(batches):
             n = batch.column("n_links").to_numpy()
             offsets = np.concatenate([np.zeros(1, np.int64), np.cumsum(n)])
             links = _stored_links(batch.column("links"), int(offsets[-1]))
-            distinct, place = np.unique(links, return_inverse=True)
-            found = counts[np.searchsorted(pairs, distinct)]  # every link is counted
-            hit = found == best[distinct & 0xFFFFFFFF]
-            sums = [pa.array(_sums(x[place], offsets), pa.int64()) for x in (hit.astype(np.int64), found)]
+            found = counts[np.searchsorted(pairs, links)]  # every link is counted
+            hit = found == best[links & 0xFFFFFFFF]
+            sums = [pa.array(_sums(x, offsets), pa.int64()) for x in (hit, found)]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("_key", *made[:4])], *sums, batch.column("groups_sha256")], [key, *made])
 
     return on_executors(aligned, run, f"`{key}` {aligned.schema['_key'].dataType.simpleString()}, " + _RESULT)
