@@ -5,7 +5,9 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from tabloom.llm import components as components_module
@@ -206,6 +208,43 @@ def test_span_edges(spark):
     assert spans.remove_repeats(docs_of(spark, [])).count() == 0
 
 
+ENDS = regex.compile(r"""((?<=[.!?…]["'”’)\]]?)\s+|\s*\n\s*|(?<=[\p{Ll}\p{N},;:])\s+(?=\p{Lu}))""")
+
+
+def test_sentences_of_many_texts_at_once_equal_the_pattern():
+    rng = random.Random(3)
+    letters = [*" \t\n\r\x0b\x1c\x85\xa0\u2028\u3000.!?…\"'”’)],;:-\0", *"aßéςbΣİAÄЖж1٣Ⅷ漢ǅ😀", " ", " ", ". ", "\ud800"]
+    for _ in range(3000):
+        texts = ["".join(rng.choice(letters) for _ in range(rng.choice([0, 1, 2, 3, 9, 40]))) for _ in range(rng.randrange(4))]
+        parts = [ENDS.split(t) for t in texts]
+        whole, starts, ends, firsts = spans.cut(texts)
+        got = [whole[a:b] for a, b in zip(starts, ends)]
+        assert [got[a:b] for a, b in zip(firsts, firsts[1:])] == [p[0::2] for p in parts]
+        assert [spans.sentences(t) for t in texts] == [(p[0::2], [*p[1::2], ""]) for p in parts]
+        one_by_one = [list(zip(*map(np.ndarray.tolist, spans.runs([t], 3)[1:]))) for t in texts]
+        number, *found = map(np.ndarray.tolist, spans.runs(texts, 3))
+        assert [(t, *r) for t, own in enumerate(one_by_one) for r in own] == list(zip(number, *found))
+
+
+def test_only_texts_with_a_repeat_are_hashed_again(spark, monkeypatch):
+    rng = random.Random(9)
+    a, b, c, d, e = (" ".join(sentence(rng, 20) for _ in range(3)) for _ in range(5))
+    rows = [(1, a), (2, f"{b} {b}"), (3, c), (3, f"{c} {c}"), (4, f"{d} {a}"), (None, f"{e} {e}"), (5, d[:40])]
+    passed = []
+    with monkeypatch.context() as m:
+        m.setattr(spans, "on_executors", lambda df, run, schema, of=spans.on_executors: passed.append((df, run)) or of(df, run, schema))
+        found = spans.remove_repeats(docs_of(spark, rows))
+    want = [(1, a, 3, 0), (2, b, 6, 3), (3, c, 3, 0), (3, c, 6, 3), (4, d, 6, 3), (None, e, 6, 3), (5, d[:40], 1, 0)]
+    key = lambda r: (str(r[0]), r[2])
+    assert sorted(((r.doc_id, r.text, r.n_sentences, r.n_removed) for r in found.collect()), key=key) == sorted(want, key=key)
+    table, clean = passed[-1]
+    hashed = []
+    monkeypatch.setattr(spans, "runs", lambda texts, *rest, of=spans.runs: hashed.extend(texts) or of(texts, *rest))
+    out = [r for x in clean(iter(pa.table(table.toArrow()).to_batches())) for r in zip(*map(pa.Array.to_pylist, (x["doc_id"], x["text"], x["n_sentences"], x["n_removed"])))]
+    assert sorted(out, key=key) == sorted(want, key=key)
+    assert sorted(hashed) == sorted(t for i, t in rows if i not in (1, 5))
+
+
 def brute_lines(rows, sites):
     spread = collections.defaultdict(set)
     for _, text, _, source in rows:
