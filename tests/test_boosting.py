@@ -154,6 +154,27 @@ def test_patience_cuts_the_longest_run_at_its_best_round(spark, table):
     assert abs(mse - some.losses[best]) < 1e-4
 
 
+@pytest.mark.parametrize("more", [
+    dict(growth="symmetric"), dict(growth="level", objective="logistic", subsample=0.7, colsample_bytree=0.7),
+    dict(growth="leaf", num_leaves=6, top_rate=0.3, other_rate=0.2),
+])
+def test_a_small_table_takes_few_jobs_for_the_same_trees(spark, frame, more, monkeypatch):
+    df = spark.createDataFrame(frame.assign(y=frame["y"] > 0.4 if "objective" in more else frame["y"])).withColumn("y", F.col("y").cast("double"))
+    parts = df.filter("f2 < 0.6 or f2 is null").coalesce(1), df.filter("f2 >= 0.6").coalesce(1)
+    s = BoostSettings(n_estimators=40, max_depth=3, learning_rate=0.9, early_stopping_rounds=8, **more)
+    monkeypatch.setattr(boosting, "ROUNDS", 11)
+    one = Booster(parts[0], FEATURES, "y", s, parts[1])
+    sc = spark.sparkContext
+    sc.setJobGroup("rounds of one task", "")
+    first = one.fit().fitted
+    jobs = len(sc.statusTracker().getJobIdsForGroup("rounds of one task"))
+    sc.setJobGroup("others", "")
+    assert jobs < len(one.trees)
+    monkeypatch.setattr(boosting, "ALONE", 0)
+    other = Booster(parts[0], FEATURES, "y", s, parts[1])
+    assert other.fit().fitted["trees"] == first["trees"] and other.losses == one.losses
+
+
 def test_rounds_can_be_added(spark, table):
     s = BoostSettings(n_estimators=6, max_depth=3, subsample=0.7, colsample_bytree=0.7)
     whole = Booster(table, FEATURES, "y", s).fit()
