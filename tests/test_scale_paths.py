@@ -1,5 +1,6 @@
 """The forms for large or skewed data give what the plain form gives."""
 
+import time
 from unittest import mock
 
 import numpy as np
@@ -234,6 +235,37 @@ def test_rolling_range(timeline):
     assert got["value_120s_mean"] == pytest.approx(inside["value"].mean())
 
 
+def test_range_of_a_hot_entity_does_not_walk_its_frames(spark):
+    """200,000 rows within one frame: over 60 seconds if every frame is walked."""
+    df = spark.range(200_000).select("id", F.lit("a").alias("e"), F.timestamp_seconds(F.expr("id div 2")).alias("ts"), (F.col("id") % 1000).alias("v"))
+    began = time.time()
+    out = rolling_range(df, "e", "ts", ["v"], 1_000_000, ["sum", "count", "max"], hot_rows=10)
+    n = F.expr("id div 2 * 2")  # neither the row nor its tie
+    full, rest = F.floor(n / 1000), n % 1000
+    total = full * 499_500 + rest * (rest - 1) / 2
+    wrong = out.filter(~(F.col("v_1000000s_count") == n) | ~F.col("v_1000000s_sum").eqNullSafe(F.when(n > 0, total)) | (F.col("v_1000000s_max") != F.when(n > 1000, 999).otherwise(n - 1)))
+    assert wrong.count() == 0 and out.count() == 200_000
+    assert time.time() - began < 60
+
+
+def test_range_of_a_hot_entity_keeps_types_ties_and_gaps(spark):
+    rows = [(i, i % 3 or None, -40 + 7 * (i // 2) + 900 * (i > 150), float("nan") if i % 11 == 0 else None if i % 7 == 0 else 1e15 if i % 50 == 49 else i % 13 / 8) for i in range(240)]
+    df = spark.createDataFrame(rows, "id int, e int, at int, v double").select(
+        "id", "e", F.timestamp_seconds("at").alias("ts"), "v", F.col("v").cast("float").alias("f"), F.when(F.col("id") % 5 > 0, F.col("id")).alias("i"),
+        (F.col("id") / 4).cast("decimal(12,3)").alias("d"),
+    )
+    wanted = ["sum", "count", "mean", "max", "min", "std"]
+    for seconds in (1, 50, 5000):
+        plain = rolling_range(df, "e", "ts", ["v", "f", "i", "d"], seconds, wanted)
+        hot = rolling_range(df, "e", "ts", ["v", "f", "i", "d"], seconds, wanted, hot_rows=10)
+        assert [(f.name, f.dataType) for f in hot.schema] == [(f.name, f.dataType) for f in plain.schema]
+        want = {r.id: r for r in plain.collect()}
+        for r in hot.collect():
+            for name in hot.columns[7:]:
+                a, b = r[name], want[r.id][name]
+                assert (a is None) == (b is None) and (a is None or float(a) == pytest.approx(float(b), rel=1e-9, abs=1e-9)), (name, r.id)
+
+
 @pytest.mark.parametrize("parts", [1, 4, 17])
 def test_partitioning_does_not_matter(skewed, parts):
     df, _ = skewed
